@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The analytics this library reproduces are all batch statements over stored
+tables: there is no stream source, watermark, window-over-time or stateful
+operator to rebuild, so this package is intentionally empty.  Every operator
+in ``ledgerlens.operators`` works unchanged on a DataFrame whose source is a
+table that a separate streaming job keeps up to date.
+"""
