@@ -25,7 +25,7 @@ def yearly_retention(header: DataFrame) -> DataFrame:
     ``year + 1``; a ``lead`` over each customer's years gives the same match
     with one shuffle instead of two (the window holds one customer's years).
     """
-    cy = (header.groupBy("CustomerID", F.year("OrderDate").alias("YEAR")).agg())
+    cy = header.select("CustomerID", F.year("OrderDate").alias("YEAR")).distinct()
     w = Window.partitionBy("CustomerID").orderBy("YEAR")
     retained = F.when(F.lead("YEAR").over(w) == F.col("YEAR") + 1, 1).otherwise(0)
     g = (cy.withColumn("_kept", retained)
