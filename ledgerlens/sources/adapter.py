@@ -37,14 +37,26 @@ def _dec(col: Column | str, precision: int, scale: int) -> Column:
 
 
 class SalesData:
-    """Lazy canonical tables over ``{path}/{table}.parquet``."""
+    """Lazy canonical tables over ``{path}/{table}.parquet``.
+
+    Resolved Parquet relations are shared by every ``SalesData`` of the same
+    session and folder, so each file's footer/schema is read once, not once
+    per query (the data itself is read by each query's scan as usual).
+    """
+
+    _relations: dict[tuple[int, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        file = f"{self.path}/{name}.parquet"
+        key = (id(self.spark), file)
+        cached = self._relations.get(key)
+        if cached is None or cached.sparkSession is not self.spark:
+            cached = self._relations[key] = self.spark.read.parquet(file)
+        return cached
 
     # -- sales ---------------------------------------------------------------
     def header(self, territory: bool = False, ship_date: bool = False) -> DataFrame:
