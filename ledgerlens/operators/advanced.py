@@ -22,7 +22,7 @@ def rank_products_in_category(detail: DataFrame, product: DataFrame, subcategory
     pc = product_category(product, subcategory, category)
     pr = (product_totals(detail).select("ProductID", "rev").join(pc, "ProductID")
           .groupBy("ProductName", "CategoryName").agg(F.sum("rev").alias("Revenue")))
-    ranked = with_rank(pr, ["CategoryName"], "Revenue", "RNK")
+    ranked = with_rank(pr, ["CategoryName"], "Revenue", "RNK", tie_break=["ProductName"])
     return ranked.select("ProductName", "CategoryName", raw_money("Revenue").alias("Revenue"), "RNK")
 
 

@@ -27,10 +27,18 @@ from pyspark.sql import functions as F
 
 
 def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bool = False,
-                  pairs_per_task: int = 5_000_000, max_salt: int = 4096) -> DataFrame:
-    """Return (``item_a``, ``item_b``, ``pairs``) for item_a > item_b."""
+                  label: str | None = None, pairs_per_task: int = 5_000_000,
+                  max_salt: int = 4096) -> DataFrame:
+    """Return (``item_a``, ``item_b``, ``pairs``) for item_a > item_b.
+
+    With ``label`` (a column functionally dependent on ``item``, e.g. the
+    product name) pairs are still formed on ``item_a > item_b`` but counted
+    per (``label_a``, ``label_b``): the result grain is reached in the one
+    pair aggregation, with no join or re-aggregation of the pairs after it.
+    """
+    keys = [basket, item] + ([label] if label else [])
     per = (lines.where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-           .groupBy(basket, item).agg(F.count(F.lit(1)).alias("_c")))
+           .groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")))
     if distinct_baskets:
         per = per.withColumn("_c", F.lit(1).cast("long"))
 
@@ -42,11 +50,14 @@ def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bo
     keyed = (per.join(hot, basket, "left")
              .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1))))
 
-    left = keyed.select(F.col(basket), F.col(item).alias("item_a"), F.col("_c").alias("_ca"),
+    side_a = [F.col(item).alias("item_a")] + ([F.col(label).alias("label_a")] if label else [])
+    side_b = [F.col(item).alias("item_b")] + ([F.col(label).alias("label_b")] if label else [])
+    left = keyed.select(F.col(basket), *side_a, F.col("_c").alias("_ca"),
                         F.pmod(F.xxhash64(F.col(item)), F.col("_s")).cast("int").alias("_salt"))
-    right = keyed.select(F.col(basket), F.col(item).alias("item_b"), F.col("_c").alias("_cb"),
+    right = keyed.select(F.col(basket), *side_b, F.col("_c").alias("_cb"),
                          F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
+    grain = ["label_a", "label_b"] if label else ["item_a", "item_b"]
     return (left.join(right, [basket, "_salt"])
             .where(F.col("item_a") > F.col("item_b"))
-            .groupBy("item_a", "item_b")
+            .groupBy(*grain)
             .agg(F.sum(F.col("_ca") * F.col("_cb")).alias("pairs")))

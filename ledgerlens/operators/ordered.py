@@ -166,17 +166,23 @@ def with_running_sum(df: DataFrame, order_by: Sequence[Column], value: str,
 
 
 def with_rank(df: DataFrame, partition_by: Sequence[str], value: str, name: str,
-              descending: bool = True, num_partitions: int | None = None) -> DataFrame:
+              tie_break: Sequence[str], descending: bool = True,
+              num_partitions: int | None = None) -> DataFrame:
     """``RANK() OVER (PARTITION BY partition_by ORDER BY value)``.
 
-    Rank = 1 + rows of the group ordered strictly before.  Rows are first
-    folded to one per (group, value) with their tie count, so a value shared
-    by many rows is one row; the tie counts are prefix-summed with
-    ``ordered_stats``, which splits a large group over many tasks.
+    The rows are numbered in (value, tie_break) order with ``ordered_stats``,
+    which splits a large group over many tasks; a row's rank is the smallest
+    row number among the rows sharing its value (1 + rows strictly before),
+    which does not depend on how ties are ordered.  ``tie_break`` columns make
+    the order total so range partitioning can split a heavily tied value.
+    Both readers of the numbered rows read the checkpoint, so the input is
+    computed once.
     """
     groups = list(partition_by)
-    ties = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_ties"))
-    order = [F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()]
-    s = ordered_stats(ties, order, groups, sum_col="_ties", num_partitions=num_partitions)
-    ranks = s.select(*groups, value, (F.col("_cum") - F.col("_ties") + F.lit(1)).cast("long").alias(name))
-    return _null_safe_join(df, ranks, [*groups, value])
+    v = F.col(value)
+    order = [v.desc_nulls_last() if descending else v.asc_nulls_first()]
+    order += [F.col(c).asc() for c in tie_break]
+    numbered = ordered_stats(df, order, groups, num_partitions=num_partitions)
+    first = (numbered.groupBy(*groups, value)
+             .agg(F.min("_rn").cast("long").alias(name)))
+    return _null_safe_join(numbered.drop("_rn", "_n"), first, [*groups, value])

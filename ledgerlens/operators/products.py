@@ -21,14 +21,16 @@ def list_price_margin(product: DataFrame) -> DataFrame:
 def products_bought_together(detail: DataFrame, product: DataFrame,
                              distinct_orders: bool = False) -> DataFrame:
     """03.2 Product-name pairs (higher id first) and how many line pairs of
-    one order they share; ``distinct_orders=True`` counts orders instead."""
-    pairs = co_occurrence(detail, "SalesOrderID", "ProductID", distinct_baskets=distinct_orders)
-    names = product.select("ProductID", "Name")
-    p1 = names.select(F.col("ProductID").alias("item_a"), F.col("Name").alias("Product1"))
-    p2 = names.select(F.col("ProductID").alias("item_b"), F.col("Name").alias("Product2"))
-    return (pairs.join(p1, "item_a").join(p2, "item_b")
-            .groupBy("Product1", "Product2")
-            .agg(F.sum("pairs").cast("long").alias("No_PurchasedTogether"))
+    one order they share; ``distinct_orders=True`` counts orders instead.
+
+    Names ride along with each (order, product) row, so the pairs are
+    aggregated once, straight to name pairs (names may repeat across ids)."""
+    lines = (detail.select("SalesOrderID", "ProductID")
+             .join(product.select("ProductID", "Name"), "ProductID"))
+    pairs = co_occurrence(lines, "SalesOrderID", "ProductID", distinct_baskets=distinct_orders,
+                          label="Name")
+    return (pairs.select(F.col("label_a").alias("Product1"), F.col("label_b").alias("Product2"),
+                         F.col("pairs").cast("long").alias("No_PurchasedTogether"))
             .orderBy(F.desc("No_PurchasedTogether"), "Product1", "Product2"))
 
 

@@ -65,7 +65,7 @@ def test_grouped_row_numbers_and_sums(spark, parts):
 
 def test_rank_with_ties_equals_window(spark):
     df = _data(spark, 200, seed=5, groups=3, distinct_values=4)   # many ties
-    got = {r.k: r.rk for r in with_rank(df, ["g"], "v", "rk", num_partitions=3).collect()}
+    got = {r.k: r.rk for r in with_rank(df, ["g"], "v", "rk", tie_break=["k"], num_partitions=3).collect()}
     want = {r.k: r.rk for r in df.select("k", F.rank().over(
         Window.partitionBy("g").orderBy(F.desc("v"))).alias("rk")).collect()}
     assert got == want
