@@ -47,7 +47,7 @@ def inventory_value_by_location(inventory: DataFrame, product: DataFrame,
     loc = location.select("LocationID", F.col("Name").alias("LocationName"))
     return (value.join(loc, "LocationID", "left")
             .select("LocationID", "LocationName", "COGS")
-            .orderBy(F.desc("COGS")))
+            .orderBy(F.desc("COGS"), "LocationID"))
 
 
 def purchase_cost_trend(po_header: DataFrame, po_detail: DataFrame, vendor: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ def list_price_margin(product: DataFrame) -> DataFrame:
     price = F.col("ListPrice")
     margin = pct(price - F.col("StandardCost"), F.when(price > 0, price), "decimal(20,4)")
     return (product.select("Name", "ListPrice", margin.alias("ProfitMargin"))
-            .orderBy(F.col("ProfitMargin").desc_nulls_last()))
+            .orderBy(F.col("ProfitMargin").desc_nulls_last(), "Name"))
 
 
 def products_bought_together(detail: DataFrame, product: DataFrame,
@@ -110,4 +110,4 @@ def product_recommendation(detail: DataFrame, product: DataFrame,
     return (perf.select("Name", F.coalesce(units, F.lit(0)).cast("long").alias("UnitSold"),
                         raw_money(F.coalesce(profit, F.lit(0))).alias("Profit"),
                         rec.alias("Recommendation"))
-            .orderBy(F.desc("Recommendation")))
+            .orderBy(F.desc("Recommendation"), "Name"))

@@ -25,7 +25,7 @@ def gross_profit_by_product_category_year(detail: DataFrame, header: DataFrame,
     return (g.select("ProductName", "ProductCategory", "Years",
                      money("_r").alias("Revenue"), money("_c").alias("COGS"),
                      money(F.col("_r") - F.col("_c")).alias("GrossProfit"))
-            .orderBy("Years", "ProductCategory", F.desc("GrossProfit")))
+            .orderBy("Years", "ProductCategory", F.desc("GrossProfit"), "ProductName"))
 
 
 def _margin(g: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def negative_margin_products(detail: DataFrame, product: DataFrame) -> DataFrame
     return (g.where(F.col("GrossProfitMargin") < 0)
             .select("ProductName", money("_r").alias("Revenue"), money("_c").alias("COGS"),
                     "GrossProfitMargin")
-            .orderBy("GrossProfitMargin"))
+            .orderBy("GrossProfitMargin", "ProductName"))
 
 
 def shrinking_margins(detail: DataFrame, header: DataFrame, product: DataFrame) -> DataFrame:
