@@ -79,7 +79,8 @@ def expansion_candidates(detail: DataFrame, header: DataFrame, territory: DataFr
     (order, lines, units) first and the total is weighted by the line count,
     which gives the same sums without the line-grain join;
     ``order_grain=True`` counts each order's total once.
-    Demand and growth both come from one region-year aggregate.
+    Demand and growth both come from one region-year aggregate, in one
+    aggregation (no self-join of the CTEs).
     """
     per_order = detail.groupBy("SalesOrderID").agg(F.count(F.lit(1)).alias("_lines"),
                                                     F.sum("OrderQty").alias("_qty"))
@@ -92,13 +93,15 @@ def expansion_candidates(detail: DataFrame, header: DataFrame, territory: DataFr
     names = territory.select("TerritoryID", F.col("Name").alias("Region"))
     ry = (per_tid.join(names, "TerritoryID")
           .groupBy("Region", "SalesYear")
-          .agg(F.sum("_qty").alias("_qty"), F.sum("_sales").alias("TotalSales")))
-    demand = ry.groupBy("Region").agg(F.sum("_qty").cast("long").alias("TotalOrders"),
-                                      money(F.sum("TotalSales")).alias("TotalSales"))
+          .agg(F.sum("_qty").alias("_qty"), F.sum("_sales").alias("_sales")))
+    # Demand (per region) LEFT JOIN GrowthCalc (per region-year) grouped back
+    # by region is one aggregation over the region-year rows once each row
+    # carries its growth over the previous year row (window bounded by years).
     w = Window.partitionBy("Region").orderBy("SalesYear")
-    prev = F.lag("TotalSales").over(w)
-    growth = ry.select("Region", pct(F.col("TotalSales") - prev, prev).alias("GrowthRate"))
-    return (demand.join(growth, "Region", "left")
-            .groupBy("Region", "TotalOrders", "TotalSales")
-            .agg(ratio(F.sum("GrowthRate"), F.count("GrowthRate"), den_scale=0).alias("AvgGrowthRate"))
+    prev = F.lag("_sales").over(w)
+    growth = ry.withColumn("_growth", pct(F.col("_sales") - prev, prev))
+    return (growth.groupBy("Region")
+            .agg(F.sum("_qty").cast("long").alias("TotalOrders"),
+                 money(F.sum("_sales")).alias("TotalSales"),
+                 ratio(F.sum("_growth"), F.count("_growth"), den_scale=0).alias("AvgGrowthRate"))
             .orderBy(F.desc("AvgGrowthRate"), F.desc("TotalSales")))

@@ -95,3 +95,13 @@ def test_no_single_partition_exchange_over_rows(spark):
     for line in text.splitlines():
         if "SinglePartition" in line:
             assert "ord_pid" in text
+
+
+def test_heavy_tie_is_split_across_partitions(spark):
+    # Every row has the same measure: without the key in the order, range
+    # partitioning would put all rows into one task.
+    df = spark.range(4000).select(F.col("id").alias("k"), F.lit(D("1.00")).alias("v"))
+    out = with_running_sum(df, [F.desc("v"), F.asc("k")], "v", num_partitions=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
+    assert out.agg(F.max("_cum")).first()[0] == D("4000.00")
