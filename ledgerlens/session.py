@@ -41,7 +41,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; a machine-local folder is used only for local
     masters (tests, the benchmark).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
