@@ -214,3 +214,34 @@ class SalesData:
         return self.raw("region").select(
             F.col("r_regionkey").cast("string").alias("CountryRegionCode"),
             F.col("r_name").alias("Name"))
+
+    # -- SQL access ------------------------------------------------------------
+    VIEW_NAMES = {
+        "sales_order_header": lambda d: d.header(territory=True, ship_date=True),
+        "sales_order_detail": lambda d: d.detail(),
+        "customer": lambda d: d.customer(),
+        "sales_territory": lambda d: d.territory(),
+        "product": lambda d: d.product(),
+        "product_subcategory": lambda d: d.subcategory(),
+        "product_category": lambda d: d.category(),
+        "product_inventory": lambda d: d.inventory(),
+        "location": lambda d: d.location(),
+        "purchase_order_header": lambda d: d.po_header(),
+        "purchase_order_detail": lambda d: d.po_detail(),
+        "vendor": lambda d: d.vendor(),
+        "address": lambda d: d.address(),
+        "state_province": lambda d: d.state_province(),
+        "country_region": lambda d: d.country_region(),
+    }
+
+    def register_views(self, database: str = "sales") -> list[str]:
+        """Expose the canonical tables to Spark SQL as temporary views
+        ``{database}_{table}`` (e.g. ``sales_sales_order_detail``), the
+        counterpart of selecting the database with ``use``.  Views are lazy:
+        a statement reads only the tables and columns it mentions."""
+        names = []
+        for table, build in self.VIEW_NAMES.items():
+            name = f"{database}_{table}" if database else table
+            build(self).createOrReplaceTempView(name)
+            names.append(name)
+        return names
