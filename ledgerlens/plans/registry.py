@@ -33,7 +33,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _q(fn: Callable[[SalesData], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(SalesData(spark, sf_dir))
-    run.__doc__ = fn.__doc__
     return run
 
 
