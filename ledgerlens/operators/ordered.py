@@ -49,10 +49,11 @@ def _running_sum_scan(value: str, groups: Sequence[str], integral: bool):
     groups = list(groups)
 
     def scan(batches):
+        zero = 0 if integral else decimal.Decimal(0)
         with decimal.localcontext() as ctx:
             ctx.prec = 80  # exact for any decimal(38, s) sum
-            carry = 0                      # partition total before this batch
-            last_key, last_base = None, 0  # group open at the end of the last batch
+            carry = zero                      # partition total before this batch
+            last_key, last_base = None, zero  # group open at the end of the last batch
             for pdf in batches:
                 if pdf.empty:
                     yield pdf.assign(**{_LCUM: pd.Series([], dtype="int64" if integral else object)})
@@ -61,7 +62,7 @@ def _running_sum_scan(value: str, groups: Sequence[str], integral: bool):
                     vals = pdf[value].fillna(0).astype("int64").to_numpy()
                 else:
                     vals = pdf[value].to_numpy(dtype=object)
-                    vals = np.where(pd.isna(vals), 0, vals)
+                    vals = np.where(pd.isna(vals), zero, vals)
                 running = np.cumsum(vals) + carry
                 if groups:
                     before = running - vals
@@ -89,7 +90,8 @@ def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Seque
                   sum_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``_rn`` (1-based row number in the order, within ``partition_by``)
     and ``_n`` (rows in the group); with ``sum_col`` also ``_cum`` (running
-    sum including the current row) and ``_total`` (group sum).
+    sum including the current row) and ``_total`` (group sum).  NULL values
+    add nothing to the sums.
 
     ``order_by`` must be a total order (end it with a key) for results to be
     deterministic, as with the SQL window functions it replaces.

@@ -105,3 +105,14 @@ def test_heavy_tie_is_split_across_partitions(spark):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
     assert out.agg(F.max("_cum")).first()[0] == D("4000.00")
+
+
+def test_running_sum_skips_nulls(spark):
+    rows = [(i, None if i % 3 == 0 or i > 40 else D(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, v decimal(18,2)")
+    got = {r.k: r._cum for r in with_running_sum(df, [F.asc("k")], "v", num_partitions=4).collect()}
+    expect, acc = {}, D(0)
+    for k, v in rows:
+        acc += v or 0
+        expect[k] = acc
+    assert got == expect
