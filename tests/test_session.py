@@ -49,3 +49,11 @@ def test_local_master_gets_private_folder():
 def test_cluster_without_folder_fails_fast():
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Spark(_SC("spark://master:7077")))
+
+
+def test_scale_conf_sizes_partitions():
+    from ledgerlens.session import scale_conf
+    big = scale_conf(100 * 10**12, task_slots=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) * (256 << 20) >= 100 * 10**12
+    small = scale_conf(10**6, task_slots=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
