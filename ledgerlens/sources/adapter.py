@@ -46,9 +46,9 @@ class SalesData:
 
     _relations: dict[tuple[int, str], DataFrame] = {}
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path):
         self.spark = spark
-        self.path = path.rstrip("/")
+        self.path = str(path).rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
         file = f"{self.path}/{name}.parquet"
