@@ -6,8 +6,8 @@ PRECEDING)`` with no PARTITION BY make Spark move every row into one task
 with the data.  ``ordered_stats`` computes the same values in parallel:
 
 1. range-partition the rows on the ordering (Spark samples the keys, so a
-   heavy value of the first key is split by the remaining keys) and sort each
-   partition;
+   heavy value of the first key is split by the remaining keys; AQE may merge
+   neighbouring small ranges) and sort each partition;
 2. number the rows of each partition (``monotonically_increasing_id``) and,
    when a running sum is asked for, scan each sorted partition once with
    Arrow batches (exact decimal prefix sums);
@@ -98,11 +98,16 @@ def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Seque
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = list(partition_by)
     sort = [F.col(g).asc() for g in groups] + list(order_by)
 
-    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    # Without an explicit count the range shuffle starts at
+    # spark.sql.shuffle.partitions and AQE merges small neighbouring ranges
+    # to its advisory size; merged ranges stay in order, and the checkpoint
+    # below pins whichever layout the run produced.
+    by_range = (df.repartitionByRange(num_partitions, *sort) if num_partitions
+                else df.repartitionByRange(*sort))
+    ranged = (by_range.sortWithinPartitions(*sort)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_IDX, F.monotonically_increasing_id()))
     if sum_col is not None:

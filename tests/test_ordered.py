@@ -116,3 +116,12 @@ def test_running_sum_skips_nulls(spark):
         acc += v or 0
         expect[k] = acc
     assert got == expect
+
+
+def test_adaptive_range_partitions(spark):
+    # no explicit partition count: AQE may merge neighbouring ranges
+    df = _data(spark, 500, seed=9)
+    order = [F.desc("v"), F.asc("k")]
+    got = {r.k: r.t for r in with_ntile(df, order, 5, "t").collect()}
+    want = {r.k: r.t for r in df.select("k", F.ntile(5).over(Window.orderBy(*order)).alias("t")).collect()}
+    assert got == want
