@@ -11,11 +11,13 @@ with the data.  ``ordered_stats`` computes the same values in parallel:
 2. number the rows of each partition (``monotonically_increasing_id``) and,
    when a running sum is asked for, scan each sorted partition once with
    Arrow batches (exact decimal prefix sums);
-3. checkpoint the result to the session's checkpoint folder, so the two
-   readers below see exactly the same partitions, also after executor loss;
-4. aggregate one row per (partition, group): count, first row id, sum;
-   prefix-sum these few rows in partition order to get each partition's
-   offsets; join them back.
+3. write the result as a Parquet table in the session's checkpoint folder:
+   the lineage is cut, both readers below see exactly the same rows, also
+   after executor loss, and since partition id and row id are stored as
+   columns nothing depends on how the table is read back;
+4. aggregate one row per (partition, group): count, first row id, sum --
+   a read of just those columns; prefix-sum these few rows in partition
+   order to get each partition's offsets; join them back.
 
 The only single-task step is the prefix sum over the per-partition summary,
 whose size is bounded by the number of partitions (plus groups).
@@ -24,6 +26,7 @@ whose size is bounded by the number of partitions (plus groups).
 from __future__ import annotations
 
 import decimal
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -44,6 +47,19 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
 
 
+def _pin(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the checkpoint folder (shared storage on a
+    cluster) and read it back: a lineage cut that later readers can prune
+    to the columns they need."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    if not root:                       # Spark Connect without a folder name
+        return df.checkpoint(eager=True)
+    path = f"{root.rstrip('/')}/ledgerlens-ordered-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _running_sum_scan(value: str, groups: Sequence[str], integral: bool):
     """Per-partition prefix sum of ``value`` restarting at each group."""
     groups = list(groups)
@@ -96,8 +112,6 @@ def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Seque
     ``order_by`` must be a total order (end it with a key) for results to be
     deterministic, as with the SQL window functions it replaces.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     groups = list(partition_by)
     sort = [F.col(g).asc() for g in groups] + list(order_by)
 
@@ -116,7 +130,7 @@ def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Seque
         out_type = T.LongType() if integral else T.DecimalType(38, src_type.scale)
         schema = T.StructType(ranged.schema.fields + [T.StructField(_LCUM, out_type)])
         ranged = ranged.mapInPandas(_running_sum_scan(sum_col, groups, integral), schema)
-    pinned = ranged.checkpoint(eager=True)
+    pinned = _pin(ranged)
 
     aggs = [F.count(F.lit(1)).alias("_cnt"), F.min(_IDX).alias("_first")]
     if sum_col is not None:

@@ -98,12 +98,16 @@ def test_no_single_partition_exchange_over_rows(spark):
 
 
 def test_heavy_tie_is_split_across_partitions(spark):
-    # Every row has the same measure: without the key in the order, range
-    # partitioning would put all rows into one task.
+    # Every row has the same measure: the key in the order lets the range
+    # partitioning split them (by the measure alone they share one task).
     df = spark.range(4000).select(F.col("id").alias("k"), F.lit(D("1.00")).alias("v"))
+    def sizes(*order):
+        ranged = df.repartitionByRange(8, *order)
+        return [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sizes(F.desc("v")) == [4000]
+    with_key = sizes(F.desc("v"), F.asc("k"))
+    assert len(with_key) == 8 and max(with_key) < 2 * 4000 / 8
     out = with_running_sum(df, [F.desc("v"), F.asc("k")], "v", num_partitions=8)
-    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
     assert out.agg(F.max("_cum")).first()[0] == D("4000.00")
 
 
