@@ -12,6 +12,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import fixed as V
+
 # Result types.  The reference casts money to decimal(10,2) / (5,2) / (6,2),
 # which overflows on realistic totals; results are widened to (20,2) with the
 # same 2-decimal rounding.  Unrounded money sums keep 4 decimals.
@@ -77,9 +79,9 @@ def month_start(ts: Column | str) -> Column:
 
 def segment(store_id: Column | str = "StoreID", person_id: Column | str = "PersonID") -> Column:
     """Store if StoreID is set, else Individual if PersonID is set, else Unknown."""
-    return (F.when(col(store_id).isNotNull(), F.lit("Store"))
-            .when(col(person_id).isNotNull(), F.lit("Individual"))
-            .otherwise(F.lit("Unknown")))
+    return (F.when(col(store_id).isNotNull(), F.lit(V.SEGMENT_STORE))
+            .when(col(person_id).isNotNull(), F.lit(V.SEGMENT_INDIVIDUAL))
+            .otherwise(F.lit(V.SEGMENT_UNKNOWN)))
 
 
 def timestamp_ntz(value) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import dec, money, month_start, pct, ratio, raw_money, timestamp_ntz
+from ..functions import fixed as V
 from .common import customer_subtotal, product_category, product_totals
 from .ordered import with_ntile, with_rank, with_running_sum
 
@@ -86,7 +87,7 @@ def _rfm_out(df: DataFrame) -> DataFrame:
 
 
 def rfm(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
-        tiles: int = 5) -> DataFrame:
+        tiles: int = V.TILES) -> DataFrame:
     """07.5 Recency (days before ``as_of``), frequency and monetary value with
     NTILE scores (5 = best each) concatenated as the RFM code.  Ties in each
     ordering are broken by customer id."""
@@ -94,7 +95,7 @@ def rfm(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
 
 
 def churn_risk(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
-               tiles: int = 5, r_score: int = 2) -> DataFrame:
+               tiles: int = V.TILES, r_score: int = V.CHURN_R_SCORE) -> DataFrame:
     """07.6 The RFM rows with recency score ``r_score`` (filtered after the
     scores are computed over all customers)."""
     return _rfm_out(_rfm_scores(customer, header, as_of, tiles).where(F.col("R_score") == r_score))
@@ -110,7 +111,8 @@ def _pareto(df: DataFrame, key: str, cutoff: Decimal | str) -> DataFrame:
             .withColumn("Revenue", money("Revenue")))
 
 
-def pareto_products(detail: DataFrame, product: DataFrame, cutoff: Decimal | str = "0.8") -> DataFrame:
+def pareto_products(detail: DataFrame, product: DataFrame,
+                    cutoff: Decimal | str = V.PARETO_CUTOFF) -> DataFrame:
     """07.7 Products, by revenue, whose running share of revenue stays within
     ``cutoff``."""
     rev = (product_totals(detail).select("ProductID", F.col("rev").alias("Revenue"))
@@ -120,7 +122,8 @@ def pareto_products(detail: DataFrame, product: DataFrame, cutoff: Decimal | str
             .orderBy(F.desc("Revenue"), F.asc("ProductID")))
 
 
-def pareto_customers(header: DataFrame, customer: DataFrame, cutoff: Decimal | str = "0.8") -> DataFrame:
+def pareto_customers(header: DataFrame, customer: DataFrame,
+                     cutoff: Decimal | str = V.PARETO_CUTOFF) -> DataFrame:
     """07.8 Customers, by SubTotal, whose running share stays within ``cutoff``."""
     rev = customer_subtotal(header, customer).select("CustomerID", "Revenue")
     return (_pareto(rev, "CustomerID", cutoff)
@@ -137,18 +140,19 @@ def _monthly_rolling(header: DataFrame, window: int) -> DataFrame:
                          ratio(F.sum("TotalSales").over(w), F.count("TotalSales").over(w), den_scale=0))
 
 
-def rolling_avg_sales(header: DataFrame, window: int = 3) -> DataFrame:
+def rolling_avg_sales(header: DataFrame, window: int = V.ROLLING_MONTHS) -> DataFrame:
     """07.9 Monthly TotalDue and its mean over the current and previous
     ``window - 1`` month rows."""
     return _monthly_rolling(header, window)
 
 
-def sales_anomalies(header: DataFrame, window: int = 3, low: str = "0.8", high: str = "1.2") -> DataFrame:
+def sales_anomalies(header: DataFrame, window: int = V.ROLLING_MONTHS, low: str = V.DROP_BELOW,
+                    high: str = V.SPIKE_ABOVE) -> DataFrame:
     """07.10 07.9 plus deviation % from the rolling mean and a status."""
     r = _monthly_rolling(header, window)
     ts, avg = F.col("TotalSales"), F.col("Rolling3MonthAvgSales")
-    status = (F.when(ts < avg * dec(low), F.lit("Sudden Drop"))
-              .when(ts > avg * dec(high), F.lit("Spike"))
-              .otherwise(F.lit("Normal")))
+    status = (F.when(ts < avg * dec(low), F.lit(V.STATUS_DROP))
+              .when(ts > avg * dec(high), F.lit(V.STATUS_SPIKE))
+              .otherwise(F.lit(V.STATUS_NORMAL)))
     return r.select("SalesMonth", "TotalSales", "Rolling3MonthAvgSales",
                     pct(ts - avg, avg).alias("DeviationRate"), status.alias("SalesStatus"))

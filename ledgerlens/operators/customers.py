@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY, month_start, pct, ratio, raw_money, segment, timestamp_ntz
+from ..functions import fixed as V
 
 
 def new_customers_by_year(header: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def yearly_retention(header: DataFrame) -> DataFrame:
 
 
 def lapsed_customers(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
-                     months: int = 12) -> DataFrame:
+                     months: int = V.LAPSE_MONTHS) -> DataFrame:
     """02.3 Customers whose last order is older than ``months`` before
     ``as_of`` (the reference uses the current time), or who never ordered."""
     last = header.groupBy("CustomerID").agg(F.max("OrderDate").alias("DATE"))
@@ -79,7 +80,7 @@ def clv_by_segment(header: DataFrame, customer: DataFrame) -> DataFrame:
                      F.min("OrderDate").alias("FirstDate"),
                      F.max("OrderDate").alias("SecondDate")))
     days = F.datediff(F.col("SecondDate"), F.col("FirstDate"))
-    lifetime = F.when(days == 0, F.lit(1.0)).otherwise(days.cast("double") / F.lit(360.0))
+    lifetime = F.when(days == 0, F.lit(1.0)).otherwise(days.cast("double") / F.lit(float(V.DAYS_PER_YEAR)))
     aov = F.col("revenue").cast("double") / F.col("orders").cast("double")
     frequency = F.col("orders").cast("double") / lifetime
     clv = aov * lifetime * frequency
@@ -87,7 +88,8 @@ def clv_by_segment(header: DataFrame, customer: DataFrame) -> DataFrame:
             .groupBy("Segments").agg(F.avg(clv).cast(MONEY).alias("AOV_CLV_Segments")))
 
 
-def top_repeat_customers(header: DataFrame, n: int = 10, min_orders_exclusive: int = 1) -> DataFrame:
+def top_repeat_customers(header: DataFrame, n: int = V.TOP_REPEAT_CUSTOMERS,
+                         min_orders_exclusive: int = V.REPEAT_MIN_ORDERS_EXCLUSIVE) -> DataFrame:
     """02.7 The ``n`` customers with most SubTotal among those with more
     than ``min_orders_exclusive`` orders."""
     g = header.groupBy("CustomerID").agg(F.count("SalesOrderID").alias("Orders"),
@@ -96,7 +98,7 @@ def top_repeat_customers(header: DataFrame, n: int = 10, min_orders_exclusive: i
             .orderBy(F.desc("Revenue"), F.asc("CustomerID")).limit(n))
 
 
-def consecutive_month_streaks(header: DataFrame, min_len: int = 5,
+def consecutive_month_streaks(header: DataFrame, min_len: int = V.STREAK_MIN_MONTHS,
                               distinct_months: bool = False) -> DataFrame:
     """02.8 Longest run of consecutive order months per customer, kept when
     at least ``min_len``.

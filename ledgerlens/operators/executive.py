@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import AVG_4DP, dec, money, pct, ratio, raw_money
+from ..functions import fixed as V
 from .common import customer_subtotal, product_totals, with_cogs
 from .ordered import with_ntile
 from .profit import _order_profit
 
 
-def priority_products(detail: DataFrame, product: DataFrame, n: int = 5) -> DataFrame:
+def priority_products(detail: DataFrame, product: DataFrame, n: int = V.PRIORITY_PRODUCTS) -> DataFrame:
     """08.1 The ``n`` products with most revenue, with their order counts."""
     s = (detail.groupBy("ProductID")
          .agg(F.sum("LineTotal").alias("_rev"), F.count_distinct("SalesOrderID").alias("Orders")))
@@ -20,8 +21,8 @@ def priority_products(detail: DataFrame, product: DataFrame, n: int = 5) -> Data
             .orderBy(F.desc("Revenue"), F.asc("ProductID")).limit(n))
 
 
-def loyalty_candidates(header: DataFrame, customer: DataFrame, n: int = 5,
-                       min_orders: int = 5) -> DataFrame:
+def loyalty_candidates(header: DataFrame, customer: DataFrame, n: int = V.LOYALTY_CUSTOMERS,
+                       min_orders: int = V.LOYALTY_MIN_ORDERS) -> DataFrame:
     """08.2 The ``n`` customers with most SubTotal among those with at least
     ``min_orders`` orders."""
     return (customer_subtotal(header, customer)
@@ -31,7 +32,7 @@ def loyalty_candidates(header: DataFrame, customer: DataFrame, n: int = 5,
 
 
 def loss_making_territories(detail: DataFrame, header: DataFrame, product: DataFrame,
-                            min_lines: int = 5000, max_profit: int = 0) -> DataFrame:
+                            min_lines: int = V.LOSS_MIN_LINES, max_profit: int = V.LOSS_MAX_PROFIT) -> DataFrame:
     """08.3 Territories with more than ``min_lines`` lines and profit below
     ``max_profit``."""
     g = _order_profit(detail, header, product, "TerritoryID")
@@ -52,7 +53,8 @@ def growth_drivers(header: DataFrame) -> DataFrame:
 
 
 def overstock_risk(detail: DataFrame, product: DataFrame, inventory: DataFrame,
-                   max_orders: int = 50, min_stock: int = 1000, fan_out: bool = True) -> DataFrame:
+                   max_orders: int = V.OVERSTOCK_MAX_UNITS, min_stock: int = V.OVERSTOCK_MIN_STOCK,
+                   fan_out: bool = True) -> DataFrame:
     """08.5 Products selling fewer than ``max_orders`` units with more than
     ``min_stock`` units in stock.
 
@@ -88,8 +90,8 @@ def loss_making_products(detail: DataFrame, product: DataFrame) -> DataFrame:
             .orderBy("Profit", "Name"))
 
 
-def low_markup_high_volume(detail: DataFrame, product: DataFrame, max_markup: str = "0.3",
-                           min_lines: int = 100) -> DataFrame:
+def low_markup_high_volume(detail: DataFrame, product: DataFrame, max_markup: str = V.MARKUP_MAX,
+                           min_lines: int = V.MARKUP_MIN_LINES) -> DataFrame:
     """08.7 Names whose markup (profit / COGS) is below ``max_markup`` with
     more than ``min_lines`` lines.  The markup test compares products, not a
     rounded quotient."""
@@ -102,7 +104,7 @@ def low_markup_high_volume(detail: DataFrame, product: DataFrame, max_markup: st
             .orderBy("ProfitMarginPerc", "Name"))
 
 
-def top_revenue_customers_tile(header: DataFrame, customer: DataFrame, tiles: int = 5) -> DataFrame:
+def top_revenue_customers_tile(header: DataFrame, customer: DataFrame, tiles: int = V.TILES) -> DataFrame:
     """08.8 Customers in the first NTILE(tiles) by SubTotal."""
     clsv = customer_subtotal(header, customer).select("CustomerID", "Revenue")
     ranked = with_ntile(clsv, [F.desc("Revenue"), F.asc("CustomerID")], tiles, "RevenueGroup")

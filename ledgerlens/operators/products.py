@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY, pct, ratio, raw_money
+from ..functions import fixed as V
 from .basket import co_occurrence
 from .common import product_category, product_totals, with_cogs
 
@@ -43,7 +44,7 @@ def _stock(inventory: DataFrame) -> DataFrame:
 
 
 def overstocked_low_sellers(detail: DataFrame, product: DataFrame, inventory: DataFrame,
-                            max_orders: int = 50) -> DataFrame:
+                            max_orders: int = V.LOW_SELLER_MAX_UNITS) -> DataFrame:
     """03.3 Products selling fewer than ``max_orders`` units whose stock
     exceeds the integer mean quantity per inventory row."""
     mean_row = inventory.agg(
@@ -90,8 +91,10 @@ def category_profit(detail: DataFrame, product: DataFrame, subcategory: DataFram
 
 
 def product_recommendation(detail: DataFrame, product: DataFrame,
-                           discontinue_units: int = 100, discontinue_profit: int = 1000,
-                           promote_units: int = 200, promote_profit: int = 2000) -> DataFrame:
+                           discontinue_units: int = V.DISCONTINUE_MAX_UNITS,
+                           discontinue_profit: int = V.DISCONTINUE_MAX_PROFIT,
+                           promote_units: int = V.PROMOTE_MIN_UNITS,
+                           promote_profit: int = V.PROMOTE_MIN_PROFIT) -> DataFrame:
     """03.7 Discontinue / promote / monitor per product name, unsold
     products included."""
     sold = product_totals(detail).select("ProductID", "rev", "qty")
@@ -104,9 +107,9 @@ def product_recommendation(detail: DataFrame, product: DataFrame,
             .withColumn("Profit", F.col("Revenue") - F.col("COGS")))
     units, profit = F.col("UnitSold"), F.col("Profit")
     rec = (F.when(((units < discontinue_units) & (profit < discontinue_profit))
-                  | F.col("Revenue").isNull(), F.lit("ConsiderDiscontinuing"))
-           .when((units > promote_units) & (profit > promote_profit), F.lit("Promote/InvestMore"))
-           .otherwise(F.lit("Monitor")))
+                  | F.col("Revenue").isNull(), F.lit(V.RECOMMEND_DISCONTINUE))
+           .when((units > promote_units) & (profit > promote_profit), F.lit(V.RECOMMEND_PROMOTE))
+           .otherwise(F.lit(V.RECOMMEND_MONITOR)))
     return (perf.select("Name", F.coalesce(units, F.lit(0)).cast("long").alias("UnitSold"),
                         raw_money(F.coalesce(profit, F.lit(0))).alias("Profit"),
                         rec.alias("Recommendation"))

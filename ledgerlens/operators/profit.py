@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import AVG_4DP, money, pct, ratio
+from ..functions import fixed as V
 from .common import order_line_totals, product_category, product_totals, with_cogs
 
 
@@ -106,8 +107,8 @@ def profit_per_customer(detail: DataFrame, header: DataFrame, product: DataFrame
 
 
 def high_revenue_low_profit_territories(detail: DataFrame, header: DataFrame, product: DataFrame,
-                                        min_revenue: int = 10_000_000,
-                                        max_profit: int = 5_000_000) -> DataFrame:
+                                        min_revenue: int = V.HIGH_REVENUE_MIN,
+                                        max_profit: int = V.LOW_PROFIT_MAX) -> DataFrame:
     """05.6 Territories with revenue above ``min_revenue`` and profit below
     ``max_profit`` (unrounded sums)."""
     g = _order_profit(detail, header, product, "TerritoryID")

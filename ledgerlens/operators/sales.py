@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY_1DP, money, pct, ratio, raw_money
+from ..functions import fixed as V
 from .common import customer_line_value
 from .ordered import with_ntile
 
@@ -19,7 +20,7 @@ def revenue_by_period(detail: DataFrame, date_col: str = "ModifiedDate") -> Data
             .orderBy("Year", "QUARTER", "Month"))
 
 
-def top_product_by_revenue(product: DataFrame, detail: DataFrame, n: int = 1) -> DataFrame:
+def top_product_by_revenue(product: DataFrame, detail: DataFrame, n: int = V.TOP_PRODUCTS) -> DataFrame:
     """01.2 The ``n`` products with the highest revenue (ties by id)."""
     rev = detail.groupBy("ProductID").agg(F.sum("LineTotal").alias("rev"))
     return (rev.join(product.select("ProductID", "Name"), "ProductID")
@@ -29,7 +30,7 @@ def top_product_by_revenue(product: DataFrame, detail: DataFrame, n: int = 1) ->
 
 
 def top_customers_by_lifetime_sales(header: DataFrame, customer: DataFrame, detail: DataFrame,
-                                    n: int = 10) -> DataFrame:
+                                    n: int = V.TOP_CUSTOMERS) -> DataFrame:
     """01.3 The ``n`` customers with the highest lifetime line value."""
     return (customer_line_value(header, customer, detail)
             .select("ID", raw_money("LSV").alias("LSV"))
@@ -68,14 +69,14 @@ def revenue_by_territory(territory: DataFrame) -> DataFrame:
 
 
 def top_quintile_revenue_share(header: DataFrame, customer: DataFrame, detail: DataFrame,
-                               tiles: int = 5) -> DataFrame:
+                               tiles: int = V.TILES) -> DataFrame:
     """01.7 Share of revenue from the first NTILE(tiles) of customers by
     lifetime value, formatted 'NN.NN%'."""
     clsv = customer_line_value(header, customer, detail)
     ranked = with_ntile(clsv, [F.desc("LSV"), F.asc("ID")], tiles, "RNK")
     top = F.sum(F.when(F.col("RNK") == 1, F.col("LSV")).otherwise(F.lit(0)))
     share = pct(top, F.sum("LSV"))
-    return ranked.agg(F.concat_ws("", share.cast("string"), F.lit("%")).alias("TOP20%Revenue"))
+    return ranked.agg(F.concat_ws("", share.cast("string"), F.lit(V.PERCENT_SUFFIX)).alias("TOP20%Revenue"))
 
 
 def declining_products(product: DataFrame, detail: DataFrame) -> DataFrame:
