@@ -20,3 +20,19 @@ def test_every_survey_statement_is_registered():
     expected = {f"{f:02d}.{i}" for f, n in [(1, 8), (2, 8), (3, 7), (4, 5), (5, 6), (6, 5), (7, 10), (8, 8)]
                 for i in range(1, n + 1)}
     assert expected <= ids
+
+
+def test_bench_prints_one_json_line(sf_small):
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "BENCH_SF_DIR": sf_small, "BENCH_CPUS": "2"}
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py"), "q01_1", "q07_8"],
+                         env=env, capture_output=True, text=True, timeout=600, check=True)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1
+    result = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
+    assert set(result["queries"]) == {"q01_1_revenue_by_period", "q07_8_pareto_customers"}
