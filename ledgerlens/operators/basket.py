@@ -54,8 +54,13 @@ def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bo
     side_b = [F.col(item).alias("item_b")] + ([F.col(label).alias("label_b")] if label else [])
     left = keyed.select(F.col(basket), *side_a, F.col("_c").alias("_ca"),
                         F.pmod(F.xxhash64(F.col(item)), F.col("_s")).cast("int").alias("_salt"))
-    right = keyed.select(F.col(basket), *side_b, F.col("_c").alias("_cb"),
-                         F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
+    # only hot baskets are replicated; every other row keeps salt 0
+    plain = keyed.where(F.col("_s") == 1).select(F.col(basket), *side_b, F.col("_c").alias("_cb"),
+                                                 F.lit(0).alias("_salt"))
+    replicated = keyed.where(F.col("_s") > 1).select(
+        F.col(basket), *side_b, F.col("_c").alias("_cb"),
+        F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
+    right = plain.unionByName(replicated)
     grain = ["label_a", "label_b"] if label else ["item_a", "item_b"]
     return (left.join(right, [basket, "_salt"])
             .where(F.col("item_a") > F.col("item_b"))
