@@ -50,7 +50,9 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_wall_time", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf, "sink": "noop",
-                      "cpus": cpus, "n_queries": len(timings),
+                      "cpus": cpus, "n_queries": len(timings), "spark": spark.version,
+                      "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      "runs_per_query": 3,
                       "cold_total": round(sum(cold.values()), 3), "cold_queries": cold}))
     spark.stop()
 
