@@ -4,12 +4,20 @@ production parameters, over its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import fingerprint, language_id, packing, quality, toxicity, url_filter
+from . import (context_mixing, decontamination, fingerprint, language_id, ngram_join, packing, quality,
+               substring_dedup, toxicity, url_filter)
 from .store import held_out, table
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -18,6 +26,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.labelled_table(spark))
 
@@ -34,8 +46,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(table(spark, sf_dir, "documents"), held_out("doc_id", 10, 0))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_document_fingerprints, op4_packing, op6_url_filters, op7_toxicity, op8_quality_classifier, op9_language_id)}
+    op1_benchmark_decontamination, op2_ngram_jaccard_join, op3_document_fingerprints, op4_packing, op5_substring_dedup,
+    op6_url_filters, op7_toxicity, op8_quality_classifier, op9_language_id, op10_lm_scoring)}
 
 #: Only what SQL expresses; the other queries are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op1_benchmark_decontamination": decontamination.SQL, "op5_substring_dedup": substring_dedup.SQL}
