@@ -29,7 +29,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -128,7 +129,7 @@ def _level_second(batches):
             names=["h", "key", "hash", "start", "windows", "again"])
 
 
-def _keyed(docs: DataFrame, *more: str) -> DataFrame:
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     return docs.select(*more, key.alias("key"), F.xxhash64("text").alias("hash"),
                        F.coalesce("text", F.lit("")).alias("text"))
@@ -196,23 +197,25 @@ def _digest(batches):
             names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def _with_marks(docs: DataFrame, *columns: str) -> DataFrame:
+def _with_marks(docs: DataFrame, column: Column, name: str) -> DataFrame:
     marks = pin(repeats(docs))
-    return (_keyed(docs, *columns).join(marks, ["key", "hash"], "left")
-            .select(*columns, "text", F.coalesce("marks", F.array().cast("array<long>")).alias("marks")))
+    return (_keyed(docs, column.alias(name)).join(marks, ["key", "hash"], "left")
+            .select(name, "text", F.coalesce("marks", F.array().cast("array<long>")).alias("marks")))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row."""
-    rows = _with_marks(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
+    rows = _with_marks(docs, F.col("doc_id").cast("long"), "doc_id")
     return rows.mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with text free of repeats and n_chars to match.
-    A text without repeats stays as it is; a row of which nothing is left goes."""
-    others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    rows = _with_marks(docs, *others)
+    A text without repeats stays as it is (null becomes empty); a row of which
+    nothing is left goes."""
+    columns = docs.columns
+    others = [c for c in columns if c not in ("text", "n_chars")]
+    rows = _with_marks(docs, F.struct(*others), "row")          # one column: names may clash with ours
 
     def run(batches):
         for part in W.slices(batches, "text"):
@@ -223,9 +226,9 @@ def cleaned(docs: DataFrame) -> DataFrame:
                 texts[i] = kept[i].decode()
             stay = np.ones(len(texts), bool)
             stay[cut] = [bool(kept[i]) for i in cut]
-            out = {**{c: part.column(c) for c in others}, "text": pa.array(texts, pa.string())}
+            out = {**{c: pc.struct_field(part.column("row"), c) for c in others}, "text": pa.array(texts, pa.string())}
             out["n_chars"] = pa.array([len(t) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_pydict({c: out[c] for c in docs.columns}).filter(pa.array(stay))
+            yield pa.RecordBatch.from_pydict({c: out[c] for c in columns}).filter(pa.array(stay))
 
     return rows.mapInArrow(run, docs.schema)
 
