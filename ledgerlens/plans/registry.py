@@ -32,8 +32,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _q(fn: Callable[[SalesData], DataFrame]) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(SalesData(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir) -> DataFrame:
+        # a folder of the driver's files, or a source of canonical tables
+        return fn(sf_dir if hasattr(sf_dir, "header") else SalesData(spark, sf_dir))
     return run
 
 

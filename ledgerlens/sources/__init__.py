@@ -1,6 +1,7 @@
-"""Canonical tables: ``adapter.SalesData`` (Spark) and ``sql_views`` (the same
-derivations as SQL for the oracle)."""
+"""Canonical tables: ``adapter.SalesData`` (the driver's files), ``tables.TableData``
+(tables of a catalog) and ``sql_views`` (the adapter's derivations as SQL for the oracle)."""
 
 from .adapter import SalesData
+from .tables import TableData
 
-__all__ = ["SalesData"]
+__all__ = ["SalesData", "TableData"]

@@ -26,7 +26,6 @@ STORE_SEGMENTS = ("BUILDING", "MACHINERY")
 PERSON_SEGMENTS = ("HOUSEHOLD", "FURNITURE")
 DUE_DAYS = 30
 SALES_YTD_YEAR = 2001
-PO_KEY_FACTOR = 100000
 COST_BASE = Decimal("0.40")
 COST_PER_SIZE = Decimal("0.06")
 
@@ -39,24 +38,18 @@ def _dec(col: Column | str, precision: int, scale: int) -> Column:
 class SalesData:
     """Lazy canonical tables over ``{path}/{table}.parquet``.
 
-    Resolved Parquet relations are shared by every ``SalesData`` of the same
-    session and folder, so each file's footer/schema is read once, not once
-    per query (the data itself is read by each query's scan as usual).
-    """
-
-    _relations: dict[tuple[int, str], DataFrame] = {}
+    Files are listed when a table is first used by an instance; a new
+    instance sees files added since."""
 
     def __init__(self, spark: SparkSession, path):
         self.spark = spark
         self.path = str(path).rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        file = f"{self.path}/{name}.parquet"
-        key = (id(self.spark), file)
-        cached = self._relations.get(key)
-        if cached is None or cached.sparkSession is not self.spark:
-            cached = self._relations[key] = self.spark.read.parquet(file)
-        return cached
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._tables[name]
 
     # -- sales ---------------------------------------------------------------
     def header(self, territory: bool = False, ship_date: bool = False) -> DataFrame:
@@ -88,13 +81,12 @@ class SalesData:
         return df
 
     def _customer_region(self) -> DataFrame:
-        # nation is a fixed 25-row dimension: broadcasting it is size-safe.
         nation = self.raw("nation").select(
             F.col("n_nationkey").alias("c_nationkey"),
             F.col("n_regionkey").cast("long").alias("TerritoryID"))
         return (self.raw("customer")
                 .select(F.col("c_custkey").alias("CustomerID"), "c_nationkey")
-                .join(F.broadcast(nation), "c_nationkey", "left")
+                .join(nation, "c_nationkey", "left")
                 .select("CustomerID", "TerritoryID"))
 
     def detail(self) -> DataFrame:
@@ -175,7 +167,8 @@ class SalesData:
 
     # -- purchasing ----------------------------------------------------------
     def _po_key(self) -> Column:
-        return F.col("l_orderkey") * PO_KEY_FACTOR + F.col("l_suppkey")
+        # text of both parts: no two (order, supplier) pairs share it, however large the keys
+        return F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_suppkey").cast("string"))
 
     def po_header(self) -> DataFrame:
         li = self.raw("lineitem")

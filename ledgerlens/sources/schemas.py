@@ -33,8 +33,8 @@ INVENTORY = _s(("ProductID", LONG), ("LocationID", LONG), ("Quantity", INT))
 LOCATION = _s(("LocationID", LONG), ("Name", STR))
 CUSTOMER = _s(("CustomerID", LONG), ("StoreID", LONG), ("PersonID", LONG))
 TERRITORY = _s(("TerritoryID", LONG), ("Name", STR), ("SalesYTD", MONEY2))
-PO_HEADER = _s(("PurchaseOrderID", LONG), ("VendorID", LONG), ("OrderDate", TS), ("ShipDate", TS))
-PO_DETAIL = _s(("PurchaseOrderID", LONG), ("LineTotal", MONEY4))
+PO_HEADER = _s(("PurchaseOrderID", STR), ("VendorID", LONG), ("OrderDate", TS), ("ShipDate", TS))
+PO_DETAIL = _s(("PurchaseOrderID", STR), ("LineTotal", MONEY4))
 VENDOR = _s(("BusinessEntityID", LONG), ("Name", STR))
 ADDRESS = _s(("AddressID", LONG), ("City", STR), ("StateProvinceID", LONG))
 STATE_PROVINCE = _s(("StateProvinceID", LONG), ("Name", STR), ("CountryRegionCode", STR))

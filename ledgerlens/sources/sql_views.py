@@ -8,7 +8,7 @@ pre-registered views named after the driver files.  Each derivation must match
 from __future__ import annotations
 
 from .adapter import (COST_BASE, COST_PER_SIZE, DUE_DAYS, ONLINE_PRIORITIES,
-                      PERSON_SEGMENTS, PO_KEY_FACTOR, SALES_YTD_YEAR, STORE_SEGMENTS)
+                      PERSON_SEGMENTS, SALES_YTD_YEAR, STORE_SEGMENTS)
 
 
 def _in(values: tuple[str, ...]) -> str:
@@ -77,13 +77,13 @@ VIEWS: dict[str, str] = {
     "inv_location": """
         SELECT s_suppkey AS LocationID, s_name AS Name FROM supplier""",
     "po_header": f"""
-        SELECT l.l_orderkey * {PO_KEY_FACTOR} + l.l_suppkey AS PurchaseOrderID,
+        SELECT concat(l.l_orderkey, '/', l.l_suppkey) AS PurchaseOrderID,
                l.l_suppkey AS VendorID, o.o_orderdate AS OrderDate,
                max(l.l_shipdate) AS ShipDate
         FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
         GROUP BY l.l_orderkey, l.l_suppkey, o.o_orderdate""",
     "po_detail": f"""
-        SELECT l_orderkey * {PO_KEY_FACTOR} + l_suppkey AS PurchaseOrderID,
+        SELECT concat(l_orderkey, '/', l_suppkey) AS PurchaseOrderID,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS LineTotal
         FROM lineitem""",
     "vendor": """
