@@ -6,15 +6,17 @@ hot basket (one order holding a large share of all lines) into one task.
 
 1. folds lines to one row per (basket, item) with the line count, partially
    aggregated before the shuffle;
-2. counts distinct items per basket and, for the few baskets whose pair
-   count exceeds ``pairs_per_task``, splits the left side over ``s`` salts
-   and replicates the right side ``s`` times, so a hot basket's pairs are
-   produced by ``s`` tasks.  The hot-basket list is joined back with a normal
-   join, which AQE turns into a broadcast only when its measured size is
-   small;
-3. joins on (basket, salt) with ``a > b`` and sums ``count_a * count_b`` per
+2. counts distinct items per basket and cuts a basket whose pairs exceed
+   ``pairs_per_task`` into a grid of r x r cells: an item's row meets the
+   cells of its hash as left side, and those of its hash as right side, so
+   each pair meets in one cell, each cell holds about ``pairs_per_task``
+   pairs, and a row is copied r times (about the root of the cell count).
+   Other baskets are one cell;
+3. joins on (basket, cell) with ``a > b`` and sums ``count_a * count_b`` per
    item pair with map-side partial aggregation.
 
+Only ids travel; callers join names to the folded pairs.
+
 Line multiplicity is kept: two lines of item A and three of item B in one
 basket give 6 line pairs, exactly as the line-level self-join counts them.
 With ``distinct_baskets=True`` each basket counts once per pair instead.
@@ -27,42 +29,31 @@ from pyspark.sql import functions as F
 
 
 def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bool = False,
-                  label: str | None = None, pairs_per_task: int = 5_000_000,
-                  max_salt: int = 4096) -> DataFrame:
-    """Return (``item_a``, ``item_b``, ``pairs``) for item_a > item_b.
-
-    With ``label`` (a column functionally dependent on ``item``, e.g. the
-    product name) pairs are still formed on ``item_a > item_b`` but counted
-    per (``label_a``, ``label_b``): the result grain is reached in the one
-    pair aggregation, with no join or re-aggregation of the pairs after it.
-    """
-    keys = [basket, item] + ([label] if label else [])
+                  pairs_per_task: int = 5_000_000) -> DataFrame:
+    """Return (``item_a``, ``item_b``, ``pairs``) for item_a > item_b."""
     per = (lines.where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-           .groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")))
+           .groupBy(basket, item).agg(F.count(F.lit(1)).alias("_c")))
     if distinct_baskets:
         per = per.withColumn("_c", F.lit(1).cast("long"))
 
-    width = per.groupBy(basket).agg(F.count(F.lit(1)).alias("_d"))
-    # pairs in a basket of d items: d*(d-1)/2; salts so each task makes ~pairs_per_task
-    salts = F.least(F.lit(max_salt), F.ceil(F.col("_d") * (F.col("_d") - 1) / F.lit(2 * pairs_per_task)))
-    hot = (width.where(F.col("_d") * (F.col("_d") - 1) > F.lit(2 * pairs_per_task))
-           .select(basket, salts.cast("int").alias("_s")))
-    keyed = (per.join(hot, basket, "left")
-             .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1))))
-
-    side_a = [F.col(item).alias("item_a")] + ([F.col(label).alias("label_a")] if label else [])
-    side_b = [F.col(item).alias("item_b")] + ([F.col(label).alias("label_b")] if label else [])
-    left = keyed.select(F.col(basket), *side_a, F.col("_c").alias("_ca"),
-                        F.pmod(F.xxhash64(F.col(item)), F.col("_s")).cast("int").alias("_salt"))
-    # only hot baskets are replicated; every other row keeps salt 0
-    plain = keyed.where(F.col("_s") == 1).select(F.col(basket), *side_b, F.col("_c").alias("_cb"),
-                                                 F.lit(0).alias("_salt"))
-    replicated = keyed.where(F.col("_s") > 1).select(
-        F.col(basket), *side_b, F.col("_c").alias("_cb"),
-        F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
-    right = plain.unionByName(replicated)
-    grain = ["label_a", "label_b"] if label else ["item_a", "item_b"]
-    return (left.join(right, [basket, "_salt"])
+    # pairs in a basket of d items: d*(d-1)/2, in r*r cells
+    pairs = F.col("_d") * (F.col("_d") - 1) / F.lit(2.0)
+    hot = (per.groupBy(basket).agg(F.count(F.lit(1)).alias("_d")).where(pairs > pairs_per_task)
+           .select(basket, F.ceil(F.sqrt(pairs / pairs_per_task)).cast("int").alias("_r")))
+    keyed = per.join(hot, basket, "left").withColumn("_r", F.coalesce("_r", F.lit(1)))
+    own = F.pmod(F.xxhash64(F.col(item)), F.col("_r")).cast("int")
+
+    def side(name: str, count: str, cell_of) -> DataFrame:
+        plain = keyed.where(F.col("_r") == 1).select(basket, F.col(item).alias(name), F.col("_c").alias(count),
+                                                     F.lit(0).alias("_cell"))
+        cells = F.transform(F.sequence(F.lit(0), F.col("_r") - 1), cell_of)
+        copied = keyed.where(F.col("_r") > 1).select(basket, F.col(item).alias(name), F.col("_c").alias(count),
+                                                     F.explode(cells).alias("_cell"))
+        return plain.unionByName(copied)
+
+    left = side("item_a", "_ca", lambda k: own * F.col("_r") + k)
+    right = side("item_b", "_cb", lambda k: k * F.col("_r") + own)
+    return (left.join(right, [basket, "_cell"])
             .where(F.col("item_a") > F.col("item_b"))
-            .groupBy(*grain)
+            .groupBy("item_a", "item_b")
             .agg(F.sum(F.col("_ca") * F.col("_cb")).alias("pairs")))

@@ -9,7 +9,7 @@ from ..functions.expr import AVG_4DP, dec, money, pct, ratio, raw_money
 from ..functions import fixed as V
 from .common import customer_subtotal, product_totals, with_cogs
 from .ordered import with_ntile
-from .profit import _order_profit
+from .profit import territory_profit
 
 
 def priority_products(detail: DataFrame, product: DataFrame, n: int = V.PRIORITY_PRODUCTS) -> DataFrame:
@@ -35,7 +35,7 @@ def loss_making_territories(detail: DataFrame, header: DataFrame, product: DataF
                             min_lines: int = V.LOSS_MIN_LINES, max_profit: int = V.LOSS_MAX_PROFIT) -> DataFrame:
     """08.3 Territories with more than ``min_lines`` lines and profit below
     ``max_profit``."""
-    g = _order_profit(detail, header, product, "TerritoryID")
+    g = territory_profit(detail, header, product)
     profit = F.col("_r") - F.col("_c")
     return (g.where((F.col("_lines") > min_lines) & (profit < max_profit))
             .select("TerritoryID", F.col("_lines").cast("decimal(20,2)").alias("SalesVolume"),

@@ -24,14 +24,14 @@ def products_bought_together(detail: DataFrame, product: DataFrame,
     """03.2 Product-name pairs (higher id first) and how many line pairs of
     one order they share; ``distinct_orders=True`` counts orders instead.
 
-    Names ride along with each (order, product) row, so the pairs are
-    aggregated once, straight to name pairs (names may repeat across ids)."""
-    lines = (detail.select("SalesOrderID", "ProductID")
-             .join(product.select("ProductID", "Name"), "ProductID"))
-    pairs = co_occurrence(lines, "SalesOrderID", "ProductID", distinct_baskets=distinct_orders,
-                          label="Name")
-    return (pairs.select(F.col("label_a").alias("Product1"), F.col("label_b").alias("Product2"),
-                         F.col("pairs").cast("long").alias("No_PurchasedTogether"))
+    Pairs are formed and folded on ids; names are joined to the folded pairs
+    and the counts added up by name (names may repeat across ids)."""
+    pairs = co_occurrence(detail, "SalesOrderID", "ProductID", distinct_baskets=distinct_orders)
+    names = product.select("ProductID", "Name")
+    return (pairs.join(names.select(F.col("ProductID").alias("item_a"), F.col("Name").alias("Product1")), "item_a")
+            .join(names.select(F.col("ProductID").alias("item_b"), F.col("Name").alias("Product2")), "item_b")
+            .groupBy("Product1", "Product2")
+            .agg(F.sum("pairs").cast("long").alias("No_PurchasedTogether"))
             .orderBy(F.desc("No_PurchasedTogether"), "Product1", "Product2"))
 
 
@@ -47,11 +47,14 @@ def overstocked_low_sellers(detail: DataFrame, product: DataFrame, inventory: Da
                             max_orders: int = V.LOW_SELLER_MAX_UNITS) -> DataFrame:
     """03.3 Products selling fewer than ``max_orders`` units whose stock
     exceeds the integer mean quantity per inventory row."""
-    mean_row = inventory.agg(
-        F.expr("sum(Quantity) div nullif(count(1), 0)").alias("_mean"))
+    # one aggregate per product serves both the stock and (folded) the mean row: both
+    # readers keep its columns and neither filters below it, so Spark reuses the exchange
+    stock = inventory.groupBy("ProductID").agg(F.sum("Quantity").alias("iQty"), F.count(F.lit(1)).alias("_rows"))
+    mean_row = stock.agg(F.expr("sum(iQty) div nullif(sum(_rows), 0)").alias("_mean"))
     names = product.select("ProductID", "Name")
-    return (_units_sold(detail).where(F.col("Orders") < max_orders)
-            .join(_stock(inventory), "ProductID")
+    sold = _units_sold(detail).where(F.col("Orders") < max_orders)
+    held = stock.where("_rows > 0").withColumnRenamed("ProductID", "_pid")
+    return (sold.join(held, F.col("ProductID").eqNullSafe(F.col("_pid")))
             .join(names, "ProductID")
             .crossJoin(F.broadcast(mean_row))          # one-row scalar
             .where(F.col("iQty") > F.col("_mean"))

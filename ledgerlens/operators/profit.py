@@ -99,6 +99,16 @@ def _order_profit(detail: DataFrame, header: DataFrame, product: DataFrame, key:
                               F.sum("lines").alias("_lines")))
 
 
+def territory_profit(detail: DataFrame, header: DataFrame, product: DataFrame) -> DataFrame:
+    """TerritoryID, _r, _c, _lines.  Lines meet their order once and are folded
+    to (territory, product), a small table, before the cost is joined."""
+    folded = (detail.join(header.select("SalesOrderID", "TerritoryID"), "SalesOrderID")
+              .groupBy("TerritoryID", "ProductID")
+              .agg(F.sum("LineTotal").alias("rev"), F.sum("OrderQty").alias("qty"), F.count(F.lit(1)).alias("lines")))
+    return (with_cogs(folded, product).groupBy("TerritoryID")
+            .agg(F.sum("rev").alias("_r"), F.sum("cogs").alias("_c"), F.sum("lines").alias("_lines")))
+
+
 def profit_per_customer(detail: DataFrame, header: DataFrame, product: DataFrame) -> DataFrame:
     """05.5 Revenue minus COGS per customer."""
     g = _order_profit(detail, header, product, "CustomerID")
@@ -111,7 +121,7 @@ def high_revenue_low_profit_territories(detail: DataFrame, header: DataFrame, pr
                                         max_profit: int = V.LOW_PROFIT_MAX) -> DataFrame:
     """05.6 Territories with revenue above ``min_revenue`` and profit below
     ``max_profit`` (unrounded sums)."""
-    g = _order_profit(detail, header, product, "TerritoryID")
+    g = territory_profit(detail, header, product)
     profit = F.col("_r") - F.col("_c")
     return (g.where((F.col("_r") > min_revenue) & (profit < max_profit))
             .select("TerritoryID", money("_r").alias("Revenue"), money("_c").alias("COGS"),
