@@ -52,7 +52,17 @@ def ratio(num: Column, den: Column, result_type: str = MONEY,
     Operands are cast to decimals of ``num_scale`` / ``den_scale`` fractional
     digits (integers and money fit exactly); the numerator keeps at least 16
     integer digits, so the quotient carries 12 exact digits before the cast.
+    Operands of more than 8 decimals, which would leave the numerator too few
+    integer digits, are divided as whole numbers instead (sums up to 1e23).
     """
+    if den_scale > 8:
+        scale = int(result_type.rstrip(")").split(",")[1])
+        up = F.lit(Decimal(10) ** max(num_scale, den_scale))
+        n, d = ((c * up).cast("decimal(38,0)") for c in (num, den))
+        size, unit = F.abs(d), F.lit(Decimal(1).scaleb(-scale))
+        halves = F.abs(n) * F.lit(Decimal(2 * 10 ** scale)) + size
+        whole = F.call_function("div", halves, F.nullif(size * F.lit(Decimal(2)), F.lit(0)))
+        return (F.signum(n).cast("int") * F.signum(d).cast("int") * whole * unit).cast(result_type)
     n_int = max(16, _QUOTIENT_INT_DIGITS - den_scale)
     n = num.cast(f"decimal({n_int + num_scale},{num_scale})")
     d = den.cast(f"decimal({22 + den_scale},{den_scale})")
@@ -65,13 +75,6 @@ def pct(num: Column, den: Column, result_type: str = MONEY,
     return ratio(num * F.lit(100), den, result_type, num_scale, den_scale)
 
 
-def int_avg(name: str) -> Column:
-    """AVG over an integer column as the reference's engine computes it: the
-    integer mean truncated toward zero (``sum div count``); NULLs skipped;
-    NULL when there is no value."""
-    return F.expr(f"sum(`{name}`) div nullif(count(`{name}`), 0)")
-
-
 def month_start(ts: Column | str) -> Column:
     """DATEFROMPARTS(YEAR(d), MONTH(d), 1) as a DATE."""
     return F.trunc(col(ts).cast("date"), "month")

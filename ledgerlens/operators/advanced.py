@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import dec, money, month_start, pct, ratio, raw_money, timestamp_ntz
 from ..functions import fixed as V
 from .common import customer_subtotal, product_category, product_totals
-from .ordered import with_ntile, with_rank, with_running_sum
+from .ordered import with_ntiles, with_rank, with_running_sum
 
 
 def rank_products_in_category(detail: DataFrame, product: DataFrame, subcategory: DataFrame,
@@ -74,10 +74,8 @@ def _rfm_scores(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.date
     rfm = (per_cust.join(customer.select("CustomerID"), "CustomerID", "left_semi")
            .withColumn("Recency", F.datediff(timestamp_ntz(as_of), F.col("_last")))
            .drop("_last"))
-    key = F.asc("CustomerID")
-    rfm = with_ntile(rfm, [F.desc("Recency"), key], tiles, "R_score")
-    rfm = with_ntile(rfm, [F.asc("Frequency"), key], tiles, "F_score")
-    rfm = with_ntile(rfm, [F.asc("Monetary"), key], tiles, "M_score")
+    rfm = with_ntiles(rfm, "CustomerID", {"R_score": ("Recency", True), "F_score": ("Frequency", False),
+                                          "M_score": ("Monetary", False)}, tiles)
     return rfm.withColumn("RFM", F.concat_ws("", "R_score", "F_score", "M_score"))
 
 

@@ -8,16 +8,16 @@ with the data.  ``ordered_stats`` computes the same values in parallel:
 1. range-partition the rows on the ordering (Spark samples the keys, so a
    heavy value of the first key is split by the remaining keys; AQE may merge
    neighbouring small ranges) and sort each partition;
-2. number the rows of each partition (``monotonically_increasing_id``) and,
-   when a running sum is asked for, scan each sorted partition once with
-   Arrow batches (exact decimal prefix sums);
-3. write the result as a Parquet table in the session's checkpoint folder:
-   the lineage is cut, both readers below see exactly the same rows, also
-   after executor loss, and since partition id and row id are stored as
-   columns nothing depends on how the table is read back;
-4. aggregate one row per (partition, group): count, first row id, sum --
+2. number the rows of each partition (``monotonically_increasing_id``) and
+   write them as a Parquet table in the session's checkpoint folder: the
+   lineage is cut, both readers below see exactly the same rows, also after
+   executor loss, and since partition id and row id are stored as columns
+   nothing depends on how the table is read back.  This part runs when the
+   operator is called, not when its result is used;
+3. aggregate one row per (partition, group): count, first row id, sum --
    a read of just those columns; prefix-sum these few rows in partition
-   order to get each partition's offsets; join them back.
+   order to get each partition's offsets; join them back;
+4. a running sum is a window over each range partition plus its offset.
 
 The only single-task step is the prefix sum over the per-partition summary,
 whose size is bounded by the number of partitions (plus groups).
@@ -25,19 +25,14 @@ whose size is bounded by the number of partitions (plus groups).
 
 from __future__ import annotations
 
-import decimal
-import uuid
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..pinned import pin
 
-_PID, _IDX, _LCUM = "_ord_pid", "_ord_idx", "_ord_lcum"
+_PID, _IDX = "_ord_pid", "_ord_idx"
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,61 +42,6 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
 
 
-def _pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder (shared storage on a
-    cluster) and read it back: a lineage cut that later readers can prune
-    to the columns they need."""
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    if not root:                       # Spark Connect without a folder name
-        return df.checkpoint(eager=True)
-    path = f"{root.rstrip('/')}/ledgerlens-ordered-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _running_sum_scan(value: str, groups: Sequence[str], integral: bool):
-    """Per-partition prefix sum of ``value`` restarting at each group."""
-    groups = list(groups)
-
-    def scan(batches):
-        zero = 0 if integral else decimal.Decimal(0)
-        with decimal.localcontext() as ctx:
-            ctx.prec = 80  # exact for any decimal(38, s) sum
-            carry = zero                      # partition total before this batch
-            last_key, last_base = None, zero  # group open at the end of the last batch
-            for pdf in batches:
-                if pdf.empty:
-                    yield pdf.assign(**{_LCUM: pd.Series([], dtype="int64" if integral else object)})
-                    continue
-                if integral:
-                    vals = pdf[value].fillna(0).astype("int64").to_numpy()
-                else:
-                    vals = pdf[value].to_numpy(dtype=object)
-                    vals = np.where(pd.isna(vals), zero, vals)
-                running = np.cumsum(vals) + carry
-                if groups:
-                    before = running - vals
-                    keys = pdf[groups]
-                    starts = keys.ne(keys.shift()).any(axis=1).to_numpy().copy()
-                    starts[0] = last_key is None or tuple(keys.iloc[0]) != last_key
-                    start_pos = np.flatnonzero(starts)
-                    bases = np.empty(len(start_pos) + 1, dtype=object)
-                    bases[0] = last_base
-                    bases[1:] = before[start_pos]
-                    base = bases[np.cumsum(starts)]
-                    local = running - base
-                    last_key, last_base = tuple(keys.iloc[-1]), base[-1]
-                else:
-                    local = running
-                carry = running[-1]
-                if integral:
-                    local = np.asarray(local, dtype="int64")
-                yield pdf.assign(**{_LCUM: local})
-
-    return scan
-
-
 def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Sequence[str] = (),
                   sum_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``_rn`` (1-based row number in the order, within ``partition_by``)
@@ -124,13 +64,7 @@ def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Seque
     ranged = (by_range.sortWithinPartitions(*sort)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_IDX, F.monotonically_increasing_id()))
-    if sum_col is not None:
-        src_type = df.schema[sum_col].dataType
-        integral = isinstance(src_type, T.IntegralType)
-        out_type = T.LongType() if integral else T.DecimalType(38, src_type.scale)
-        schema = T.StructType(ranged.schema.fields + [T.StructField(_LCUM, out_type)])
-        ranged = ranged.mapInPandas(_running_sum_scan(sum_col, groups, integral), schema)
-    pinned = _pin(ranged)
+    pinned = pin(ranged, "ordered")
 
     aggs = [F.count(F.lit(1)).alias("_cnt"), F.min(_IDX).alias("_first")]
     if sum_col is not None:
@@ -150,11 +84,12 @@ def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Seque
     if groups:
         joined = _null_safe_join(pinned, offsets, [_PID, *groups])
     else:
-        # one row per range partition: bounded by n, so broadcasting is safe
-        joined = pinned.join(F.broadcast(offsets), _PID)
+        joined = pinned.join(offsets, _PID)
     out = joined.withColumn("_rn", F.col("_off") + F.col(_IDX) - F.col("_first") + F.lit(1))
     if sum_col is not None:
-        out = out.withColumn("_cum", F.col("_off_sum") + F.col(_LCUM))
+        # within a range partition, then what came before it
+        local = Window.partitionBy(_PID, *groups).orderBy(_IDX).rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn("_cum", F.col("_off_sum") + F.sum(F.coalesce(F.col(sum_col), F.lit(0))).over(local))
     keep = [c for c in df.columns] + ["_rn", "_n"] + (["_cum", "_total"] if sum_col else [])
     return out.select(*keep)
 
@@ -178,6 +113,22 @@ def with_ntile(df: DataFrame, order_by: Sequence[Column], tiles: int, name: str,
             .drop("_rn", "_n"))
 
 
+def with_ntiles(df: DataFrame, key: str, orders: dict[str, tuple[str, bool]], tiles: int,
+                num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus one NTILE column per entry of ``orders`` (name: column and
+    whether it descends; ties by the unique ``key``).  ``df`` is written once;
+    each ordering shuffles only the key and its column, and the tiles are
+    joined on the key."""
+    base = pin(df, "tiled")
+    out = base
+    for name, (column, descends) in orders.items():
+        narrow = base.select(F.col(key).alias("_k"), F.col(column).alias("_v"))
+        order = [F.desc("_v") if descends else F.asc("_v"), F.asc("_k")]
+        tiled = with_ntile(narrow, order, tiles, name, num_partitions)
+        out = out.join(tiled.select(F.col("_k").alias(key), name), key)
+    return out
+
+
 def with_running_sum(df: DataFrame, order_by: Sequence[Column], value: str,
                      num_partitions: int | None = None) -> DataFrame:
     """``df`` plus ``_cum`` (running sum of ``value`` in ``order_by``, ROWS

@@ -37,22 +37,23 @@ def top_customers_by_lifetime_sales(header: DataFrame, customer: DataFrame, deta
             .orderBy(F.desc("LSV"), F.asc("ID")).limit(n))
 
 
-def average_order_value_by_year(detail: DataFrame, distinct_orders: bool = False) -> DataFrame:
+def average_order_value_by_year(detail: DataFrame, distinct_orders: bool = False,
+                                date_col: str = "ModifiedDate") -> DataFrame:
     """01.4 Sum of LineTotal / count of SalesOrderID per year.
 
     Literally the count is of lines (an average line value);
     ``distinct_orders=True`` divides by distinct orders instead."""
     orders = F.count_distinct("SalesOrderID") if distinct_orders else F.count("SalesOrderID")
-    return (detail.groupBy(F.year("ModifiedDate").alias("Year"))
+    return (detail.groupBy(F.year(date_col).alias("Year"))
             .agg(F.sum("LineTotal").alias("_rev"), orders.alias("_n"))
             .select(ratio(F.col("_rev"), F.col("_n"), den_scale=0).alias("AOV"), "Year")
             .orderBy("Year"))
 
 
-def online_share_by_month(header: DataFrame) -> DataFrame:
+def online_share_by_month(header: DataFrame, date_col: str = "ModifiedDate") -> DataFrame:
     """01.5 Monthly sales, the online part, and its percentage."""
     online = F.when(F.col("OnlineOrderFlag"), F.col("SubTotal")).otherwise(F.lit(0))
-    g = (header.groupBy(F.year("ModifiedDate").alias("Year"), F.month("ModifiedDate").alias("MONTH"))
+    g = (header.groupBy(F.year(date_col).alias("Year"), F.month(date_col).alias("MONTH"))
          .agg(F.sum("SubTotal").alias("_s"), F.sum(online).alias("_o")))
     return (g.select("Year", "MONTH",
                      F.col("_s").cast(MONEY_1DP).alias("sales"),
@@ -79,10 +80,10 @@ def top_quintile_revenue_share(header: DataFrame, customer: DataFrame, detail: D
     return ranked.agg(F.concat_ws("", share.cast("string"), F.lit(V.PERCENT_SUFFIX)).alias("TOP20%Revenue"))
 
 
-def declining_products(product: DataFrame, detail: DataFrame) -> DataFrame:
+def declining_products(product: DataFrame, detail: DataFrame, date_col: str = "ModifiedDate") -> DataFrame:
     """01.8 Product-years whose revenue fell two years running (previous
     rows, not previous calendar years)."""
-    psv = (detail.groupBy("ProductID", F.year("ModifiedDate").alias("Year"))
+    psv = (detail.groupBy("ProductID", F.year(date_col).alias("Year"))
            .agg(F.sum("LineTotal").alias("_rev"))
            .join(product.select("ProductID", "Name"), "ProductID")
            .select(F.col("ProductID").alias("ID"), "Name", "Year",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings the operators are written for.  AQE re-plans joins from runtime
@@ -21,20 +22,22 @@ DEFAULT_CONF = {
 }
 
 
+MAX_SHUFFLE_PARTITIONS = 32_768
+
+
 def scale_conf(input_bytes: int, task_slots: int, partition_bytes: int = 256 << 20) -> dict:
     """Partition sizing for a cluster run over ``input_bytes`` of fact data.
 
     * scans: ``maxPartitionBytes`` = ``partition_bytes`` (one split per ~256 MiB);
-    * shuffles: start with enough partitions that each holds ~``partition_bytes``
-      of the largest shuffle (at most the input size), at least 2 waves of
-      the cluster's task slots; AQE then coalesces small partitions to the
-      advisory size and splits skewed ones (5x median and > 1 GiB);
+    * shuffles: start with ~``partition_bytes`` per partition of a shuffle as
+      large as the input, at least 2 waves of the cluster's task slots and at
+      most ``MAX_SHUFFLE_PARTITIONS``: the driver keeps a size per map task and
+      partition, and most shuffles carry folded rows.  AQE coalesces small
+      partitions to the advisory size and splits skewed ones (5x median and
+      > 1 GiB); a shuffle of the raw input at 100 TB spills within its tasks;
     * broadcast joins only below 64 MiB measured at runtime.
-
-    At 100 TB over 1000 executors x 8 cores this gives ~400k shuffle
-    partitions of ~256 MiB each.
     """
-    partitions = max(2 * task_slots, -(-input_bytes // partition_bytes))
+    partitions = max(2 * task_slots, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -47,12 +50,22 @@ def scale_conf(input_bytes: int, task_slots: int, partition_bytes: int = 256 <<
     }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "ledgerlens", driver_memory: str = "16g",
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
+                  app_name: str = "ledgerlens", driver_memory: str | None = None,
                   extra_conf: dict | None = None) -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", driver_memory))
+    """A session with ``DEFAULT_CONF``.  What is not given comes from the
+    launcher (``spark-submit``); only without any master does it run locally,
+    on all cores, with a shuffle partition for each of eight threads."""
+    launched = SparkConf().get("spark.master", None)
+    builder = SparkSession.builder.appName(app_name)
+    if master or not launched:
+        builder = builder.master(master or "local[*]")
+        if (master or "local").startswith("local"):
+            shuffle_partitions, driver_memory = shuffle_partitions or 8, driver_memory or "16g"
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in {**DEFAULT_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
