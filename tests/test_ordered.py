@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.ordered import ordered_stats, with_ntile, with_rank, with_running_sum
-from ledgerlens.plans.checks import single_partition_exchanges
+from checks import physical_plan, single_partition_exchanges
+from ledgerlens import pinned
 
 
 def _data(spark, n, seed=7, groups=3, distinct_values=6):
@@ -90,11 +91,36 @@ def test_no_single_partition_exchange_over_rows(spark):
     out = with_running_sum(df, [F.desc("v"), F.asc("k")], "v", num_partitions=4)
     plan_windowed = df.select(F.sum("v").over(Window.orderBy("k")))
     assert single_partition_exchanges(plan_windowed) >= 1
-    # the summary window sits on an aggregate of (partition id) rows
-    text = out._jdf.queryExecution().executedPlan().toString()
-    for line in text.splitlines():
-        if "SinglePartition" in line:
-            assert "ord_pid" in text
+    # what such an exchange reads is the summary: an aggregate by partition id
+    nodes = physical_plan(out).splitlines()
+    gathered = [i for i, line in enumerate(nodes) if "SinglePartition" in line]
+    assert gathered
+    for i in gathered:
+        assert "HashAggregate(keys=[_ord_pid" in nodes[i + 1], nodes[i:i + 3]
+    assert "MapInPandas" not in physical_plan(out)
+
+
+def test_null_group_is_one_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (None, 3), ("a", 5)], "g string, v int")
+    got = sorted((r.g or "", r.v, r._cum, r._total) for r in
+                 ordered_stats(df, [F.asc("v")], ["g"], sum_col="v", num_partitions=2).collect())
+    assert got == [("", 1, 1, 6), ("", 2, 3, 6), ("", 3, 6, 6), ("a", 5, 5, 5)]
+
+
+def test_double_sums(spark):
+    df = spark.createDataFrame([(i, i / 4) for i in range(40)], "k int, v double")
+    got = {r.k: r._cum for r in with_running_sum(df, [F.asc("k")], "v", num_partitions=3).collect()}
+    assert got == {i: sum(j / 4 for j in range(i + 1)) for i in range(40)}
+
+
+def test_pinned_tables_are_deleted(spark):
+    import os
+    from ledgerlens.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    with_ntile(spark.range(20).withColumnRenamed("id", "k"), [F.asc("k")], 5, "t").count()
+    assert any(n.startswith("ledgerlens-ordered-") for n in os.listdir(root))
+    pinned.release()
+    assert not any(n.startswith("ledgerlens-ordered-") for n in os.listdir(root))
 
 
 def test_heavy_tie_is_split_across_partitions(spark):
