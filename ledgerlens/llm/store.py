@@ -18,13 +18,16 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _roots: dict[str, SparkSession] = {}
 
 
-def _forget() -> None:
-    for path, spark in _roots.items():
-        jvm = getattr(spark, "_jvm", None)
-        if jvm is None or spark.sparkContext._jsc is None:
-            continue
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None and spark.sparkContext._jsc is not None:
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _forget() -> None:
+    for path, spark in _roots.items():
+        _delete(spark, path)
     _roots.clear()
 
 
@@ -55,7 +58,16 @@ def pin(df: DataFrame) -> DataFrame:
     _roots[path] = spark
     with tidy(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.pinned_at = path
+    return out
+
+
+def unpin(*tables: DataFrame) -> None:
+    """Delete pinned tables that nothing will read again: what was made of
+    them has been pinned itself."""
+    for df in tables:
+        _delete(_roots.pop(df.pinned_at), df.pinned_at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

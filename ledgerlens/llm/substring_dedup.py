@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .store import pin
+from .store import pin, unpin
 
 WINDOW = 20
 FIRST = 5
@@ -84,8 +84,8 @@ def _level_first(batches):
         short, place, _, _ = _runs(h, first)
         doc = pa.array(np.searchsorted(first, place, side="right") - 1)
         yield pa.RecordBatch.from_arrays(
-            [_signed(short[place]), part.column("key").take(doc), part.column("hash").take(doc),
-             pa.array((place - first[doc.to_numpy()]).astype(np.int32))], names=["h", "key", "hash", "place"])
+            [_signed(short[place]), part.column("row").take(doc),
+             pa.array((place - first[doc.to_numpy()]).astype(np.int32))], names=["h", "row", "place"])
 
 
 def _level_second(batches):
@@ -136,25 +136,34 @@ def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    """Rows whose h another row has too."""
-    return rows.join(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "h", "left_semi")
+    """Rows whose h another row has too.  The repeated values are written
+    first: a join of two plain shuffles is one whose hot values Spark splits."""
+    again = pin(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    return rows.join(again, "h", "left_semi")
+
+
+def _first(rows: DataFrame) -> DataFrame:
+    """The smallest key of every h, written first for the same reason."""
+    return pin(rows.groupBy("h").agg(F.min("key").alias("first")))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Later occurrences per text: key, hash, and marks of start * 32 + number
     of consecutive full windows."""
-    keyed = _keyed(docs)
-    short = pin(keyed.mapInArrow(_level_first, "h long, key long, hash long, place int"))
-    places = _repeated(short).groupBy("key", "hash").agg(F.collect_list("place").alias("places"))
-    double = pin(keyed.join(places, ["key", "hash"]).select("key", "hash", "text", "places").mapInArrow(
+    keyed = _keyed(docs).withColumn("row", F.xxhash64("key", "hash"))
+    short = pin(keyed.select("row", "text").mapInArrow(_level_first, "h long, row long, place int"))
+    places = pin(_repeated(short).groupBy("row").agg(F.collect_list("place").alias("places")))
+    unpin(short)
+    double = pin(keyed.join(places, "row").select("key", "hash", "text", "places").mapInArrow(
         _level_second, "h long, key long, hash long, start int, windows array<long>, again array<boolean>"))
     runs = pin(_repeated(double).withColumn("h", F.xxhash64("windows")))
-    first = runs.groupBy("h").agg(F.min("key").alias("first"))
-    rest = pin(runs.join(first, "h"))
+    unpin(double)
+    rest = pin(runs.join(_first(runs), "h"))
+    unpin(runs)
     settled = rest.where("first < key").select(
         "key", "hash", (F.col("start").cast("long") * 32 + F.size("windows")).alias("mark"))
     single = rest.where("first = key").select("key", "hash", "start", "again", F.posexplode("windows").alias("i", "h"))
-    one = single.select("h", "key").groupBy("h").agg(F.min("key").alias("first"))
+    one = _first(single.select("h", "key"))
     alone = single.join(one, "h").where(F.col("first") < F.col("key")).select("key", "hash", "start", "i").union(
         single.where(F.get("again", F.col("i"))).select("key", "hash", "start", "i"))
     marks = settled.union(alone.select("key", "hash", ((F.col("start").cast("long") + F.col("i")) * 32 + 1).alias("mark")))
