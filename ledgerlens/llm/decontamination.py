@@ -98,7 +98,7 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> D
     # exact containment, in candidate documents only
     spots = found.select(F.col("doc_id").alias("d"), F.col("hash").alias("t")).distinct()
     texts = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
-    texts = texts.join(spots, (texts.hash == spots.t) & texts.doc_id.eqNullSafe(spots.d), "left_semi")
+    texts = texts.join(spots.hint("merge"), (texts.hash == spots.t) & texts.doc_id.eqNullSafe(spots.d), "left_semi")
     held = _grams(texts.select("doc_id", "hash", word_hashes(F.col("text")).alias("h")), "doc_id", "hash")
     shared = (held.join(grams, "gram").groupBy("doc_id", "hash", "item_id", "n", "gram").agg(F.lit(1).alias("one"))
               .groupBy("doc_id", "hash", "item_id", "n").agg(F.count("*").alias("shared")))
@@ -113,7 +113,7 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> D
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose id holds no item."""
     gone = pin(search(docs, items, threshold).select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.gone), "left_anti")
+    return docs.join(gone.hint("merge"), docs.doc_id.eqNullSafe(gone.gone), "left_anti")
 
 
 #: Exact containment over all pairs that share a 5-gram; the search misses one
