@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import sys
 import time
 
@@ -32,13 +33,16 @@ def main() -> None:
     only = [a for a in sys.argv[1:]]
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus),
                           app_name="ledgerlens-bench")
-    # warm-up: JVM class loading, Parquet footers, Python workers
-    for warm in ("q01_1_revenue_by_period", "q07_8_pareto_customers"):
+    # warm-up: JVM class loading, Parquet footers, code generation of every kind of operator
+    for warm in ("q01_1_revenue_by_period", "q07_8_pareto_customers", "q01_7_top_quintile_revenue_share",
+                 "q05_1_gross_profit_by_product_category_year", "q03_2_products_bought_together", "q07_5_rfm"):
         QUERIES[warm](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings: dict[str, float] = {}
     cold: dict[str, float] = {}
-    for name, query in QUERIES.items():
+    order = list(QUERIES.items())
+    random.Random(int(os.environ.get("BENCH_SEED", "0"))).shuffle(order)    # no query always pays for being first
+    for name, query in order:
         if only and not any(o in name for o in only):
             continue
         runs = []
@@ -49,7 +53,7 @@ def main() -> None:
         cold[name], timings[name] = runs[0], min(runs[1:])
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_wall_time", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "sink": "noop",
+                      "unit": "sec", "queries": dict(sorted(timings.items())), "sf": sf, "sink": "noop",
                       "cpus": cpus, "n_queries": len(timings), "spark": spark.version,
                       "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
                       "runs_per_query": 3,
