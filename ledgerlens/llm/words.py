@@ -111,9 +111,18 @@ def find(data: np.ndarray, offs: np.ndarray, inside: np.ndarray = SPACE):
     return s, np.flatnonzero(end) + 1, np.searchsorted(s, offs)
 
 
-def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    sums, down = prefix(data, _BYTES)
-    return spans(sums, down, start, end)
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = 1 << 22) -> np.ndarray:
+    """Hash of every word, in runs of words of about ``step`` bytes: the prefix
+    sums of a very long text never stand in memory at once."""
+    out = np.empty(len(start), U64)
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(end, start[a] + step, side="right")))
+        low = start[a]
+        sums, down = prefix(data[low:end[b - 1]], _BYTES)
+        out[a:b] = spans(sums, down, start[a:b] - low, end[a:b] - low)
+        a = b
+    return out
 
 
 def windows(word_hash: np.ndarray, size: int, sums=None) -> np.ndarray:

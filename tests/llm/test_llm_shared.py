@@ -22,6 +22,12 @@ def test_words_and_hashes_follow_content_only():
     assert len({w: x for w, x in zip(got, h)}) == len(set(h)) == len(set(got))
 
 
+def test_hashes_do_not_depend_on_the_run():
+    data, offs = W.column_bytes(pa.array([" ".join(f"w{i % 37}" * (1 + i % 5) for i in range(500)), "x" * 300]))
+    start, end, _ = W.find(data, offs)
+    assert (W.hashes(data, start, end) == W.hashes(data, start, end, step=50)).all()
+
+
 def test_adjacent_texts_do_not_join_words():
     data, offs = W.column_bytes(pa.array(["ab", "cd"]))
     assert len(W.find(data, offs)[0]) == 2
