@@ -43,7 +43,8 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 
 def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Sequence[str] = (),
-                  sum_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                  sum_col: str | None = None, num_partitions: int | None = None,
+                  keep_partition: bool = False) -> DataFrame:
     """Add ``_rn`` (1-based row number in the order, within ``partition_by``)
     and ``_n`` (rows in the group); with ``sum_col`` also ``_cum`` (running
     sum including the current row) and ``_total`` (group sum).  NULL values
@@ -90,7 +91,7 @@ def ordered_stats(df: DataFrame, order_by: Sequence[Column], partition_by: Seque
         # within a range partition, then what came before it
         local = Window.partitionBy(_PID, *groups).orderBy(_IDX).rowsBetween(Window.unboundedPreceding, 0)
         out = out.withColumn("_cum", F.col("_off_sum") + F.sum(F.coalesce(F.col(sum_col), F.lit(0))).over(local))
-    keep = [c for c in df.columns] + ["_rn", "_n"] + (["_cum", "_total"] if sum_col else [])
+    keep = [c for c in df.columns] + ([_PID] if keep_partition else []) + ["_rn", "_n"] + (["_cum", "_total"] if sum_col else [])
     return out.select(*keep)
 
 
@@ -146,15 +147,17 @@ def with_rank(df: DataFrame, partition_by: Sequence[str], value: str, name: str,
     which splits a large group over many tasks; a row's rank is the smallest
     row number among the rows sharing its value (1 + rows strictly before),
     which does not depend on how ties are ordered.  ``tie_break`` columns make
-    the order total so range partitioning can split a heavily tied value.
-    Both readers of the numbered rows read the checkpoint, so the input is
+    the order total so range partitioning can split a heavily tied value; the
+    smallest number is found per (range partition, value) and then over the
+    few partitions a value spans, so a tie is never one join key.
+    Both readers of the numbered rows read the pinned table, so the input is
     computed once.
     """
     groups = list(partition_by)
     v = F.col(value)
     order = [v.desc_nulls_last() if descending else v.asc_nulls_first()]
     order += [F.col(c).asc() for c in tie_break]
-    numbered = ordered_stats(df, order, groups, num_partitions=num_partitions)
-    first = (numbered.groupBy(*groups, value)
-             .agg(F.min("_rn").cast("long").alias(name)))
-    return _null_safe_join(numbered.drop("_rn", "_n"), first, [*groups, value])
+    numbered = ordered_stats(df, order, groups, num_partitions=num_partitions, keep_partition=True)
+    here = numbered.groupBy(_PID, *groups, value).agg(F.min("_rn").alias("_low"))
+    first = here.select(_PID, *groups, value, F.min("_low").over(Window.partitionBy(*groups, value)).cast("long").alias(name))
+    return _null_safe_join(numbered.drop("_rn", "_n"), first, [_PID, *groups, value]).drop(_PID)
