@@ -159,3 +159,21 @@ def test_cleaned_texts(spark, odd, empty):
     assert kept[2].text == "" and kept[3].text == " \n\t " and kept[7].row == 7
     assert substring_dedup.cleaned(odd).columns == odd.columns
     assert substring_dedup.dedup(empty).count() == 0 == substring_dedup.cleaned(empty).count()
+
+
+def test_queries_equal_their_sql(spark):
+    import duckdb
+
+    from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    for name, sql in ORACLE_SQL.items():
+        got = QUERIES[name](spark, sf)
+        rel = con.sql(sql)
+        columns = sorted(got.columns)
+        assert columns == sorted(rel.columns), name
+        mine = sorted(tuple(r[c] for c in columns) for r in got.collect())
+        theirs = sorted(tuple(dict(zip(rel.columns, r))[c] for c in columns) for r in rel.fetchall())
+        assert mine == theirs, name
