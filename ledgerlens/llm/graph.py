@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import pin
+from .store import pin, unpin
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -30,6 +30,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         star = pin(large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                    .union(least.select("u", F.col("m").alias("v"))).distinct())
         now = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        unpin(large)
         if now == before:
             break
         before = now

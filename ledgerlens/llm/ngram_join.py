@@ -144,13 +144,15 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     nodes = pin(signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
     # texts that share a band, as stars around the smallest text of the band
     keys = signed.where("n > 0").select("node", F.explode("bands").alias("band"))
-    hubs = keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far")
+    hubs = pin(keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far"))
     met = components(keys.join(hubs, "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
                      .distinct())
     member = pin(met.join(nodes, "node"))
     size = member.groupBy("root").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     member = member.join(size, "root").withColumn("side", F.pmod(F.xxhash64("node", "root"), F.col("blocks")).cast("int"))
     # one row of each text, sent to every square of its candidates that needs it
+    # (texts move at every size: how many of them are candidates is not known before)
+    member = member.hint("merge")
     squares = (texts.join(member, (texts.node == member.node) & texts.doc_id.eqNullSafe(member["first"]))
                .select(member.node, "root", "side", "copies", "text",
                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -170,4 +172,28 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id names their class."""
     gone = pin(join(docs).where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.gone), "left_anti")
+    return docs.join(gone.hint("merge"), docs.doc_id.eqNullSafe(gone.gone), "left_anti")
+
+
+#: The definition itself: all pairs that share an n-gram, and what their links reach.
+SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w
+  FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+named AS (SELECT a, min(b) AS low FROM reach GROUP BY a),
+linked AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, coalesce(n, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN named ON named.a = doc_id LEFT JOIN linked ON linked.a = doc_id
+"""

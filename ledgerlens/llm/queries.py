@@ -55,4 +55,5 @@ QUERIES = {f.__name__: f for f in (
     op6_url_filters, op7_toxicity, op8_quality_classifier, op9_language_id, op10_lm_scoring)}
 
 #: Only what SQL expresses; the other queries are tested against brute force.
-ORACLE_SQL = {"op1_benchmark_decontamination": decontamination.SQL, "op5_substring_dedup": substring_dedup.SQL}
+ORACLE_SQL = {"op1_benchmark_decontamination": decontamination.SQL, "op2_ngram_jaccard_join": ngram_join.SQL,
+              "op5_substring_dedup": substring_dedup.SQL}
