@@ -78,3 +78,14 @@ def held_out(doc_id: str, modulus: int, remainder: int):
     """crc32 of the id as text leaves this remainder; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder,
                       F.lit(False))
+
+
+def sampled(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """All of ``rows`` where there are at most ``most``, else those under a
+    limit on the hashed ``key`` that leaves just fewer: a filter, so no task
+    and not the driver sees the rows of the others.  Keys are to be unique."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    limit = int(0.97 * most / n * (1 << 32))
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 32)) < limit)
