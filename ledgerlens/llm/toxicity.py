@@ -9,7 +9,7 @@ the examples themselves (each without its own vote), give the score; the
 evidence names the nearest examples.
 
 Bounds: the vocabulary comes from at most ``SAMPLE`` labelled rows (those with
-the smallest hashed ids; equal texts once), has at most ``TERMS`` words, and the index holds at
+the smallest hashed ids, a fixed share of all; equal texts once), has at most ``TERMS`` words, and the index holds at
 most ``EXAMPLES`` examples of each label.  Scoring covers whole texts of all rows.
 
 Cases: null text counts as empty; texts with no vocabulary word get the share
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .store import pin
+from .store import pin, sampled
 
 SAMPLE = 20_000
 TERMS = 2048
@@ -198,9 +198,8 @@ class Model:
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """``labels``: doc_id and toxic of the rows that may teach."""
-    known = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id")
-             .agg(F.max("toxic").cast("double").alias("toxic"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))      # SAMPLE rows of two numbers at most
+    known = sampled(pin(labels.where("toxic is not null and doc_id is not null").groupBy("doc_id")
+                        .agg(F.max("toxic").cast("double").alias("toxic"))), "doc_id", SAMPLE)   # two numbers a row
     # one row of each text: copies of a labelled text would make all its words telling
     sample = pin(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
                  .join(F.broadcast(known), "doc_id").groupBy(F.xxhash64("text").alias("copy"))
