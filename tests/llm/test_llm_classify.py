@@ -111,6 +111,17 @@ def test_toxicity_on_held_out_rows(spark):
 
 # --- 8 ---------------------------------------------------------------------------------------
 
+def test_rare_words_of_a_family_are_telling(spark):
+    family = [f"bomen{end}" for end in ("teja", "tell", "teci", "tura")]
+    teach = [(i, prose(i, 30) + (" " + family[i % 4] if i < 20 else "")) for i in range(200)]
+    docs = spark.createDataFrame(teach + [(1000 + k, w) for k, w in enumerate(family)] + [(2000, "bread")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(200)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, labels, F.col("doc_id") >= 1000).collect()}
+    assert all(got[1000 + k].predicted == 1 and got[1000 + k].evidence for k in range(4))
+    assert got[2000].predicted == 0
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     rows = quality.score(docs, labels, held_out("doc_id", 5, 0)).join(labels, "doc_id").where("held_out").collect()
