@@ -9,7 +9,8 @@ stages after it:
 1. toxicity: rows with a score of 0.3 or more go; labels teach from rows whose
    crc32(doc_id as text) mod 4 is not 2;
 2. n-gram Jaccard join: of each group of linked rows the one with the smallest
-   doc_id stays (rows that repeat that id stay together);
+   doc_id stays (rows of the group that repeat that id stay together); of a
+   group without ids one row stays;
 3. substring dedup: later occurrences of 20 consecutive words are cut out of
    the texts; a text without any stays as it is, an emptied one goes;
 4. benchmark decontamination: rows that hold a benchmark item go;

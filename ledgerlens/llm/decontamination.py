@@ -86,9 +86,9 @@ def probes(grams: DataFrame, threshold: float) -> DataFrame:
             .groupBy("item_id", "need", "p.gram").agg(F.sum(F.expr("shiftleft(1L, p.seed)")).alias("mask")))
 
 
-def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, n_shingles (of the item), n_shared, containment (at the
-    threshold or above)."""
+def _holding(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, hash (of the text), item_id, n, shared: texts that hold an item,
+    each judged by itself where an id repeats."""
     grams = pin(item_grams(items))
     probe = pin(probes(grams, threshold))
     rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), word_hashes(F.col("text")).alias("h"))
@@ -105,15 +105,24 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> D
     pairs = found.select(F.col("doc_id").alias("d"), F.col("hash").alias("t"), F.col("item_id").alias("q"))
     return (shared.where(F.col("shared") >= F.lit(threshold) * F.col("n"))
             .join(pairs, (F.col("hash") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))
-                  & F.col("item_id").eqNullSafe(F.col("q")), "left_semi")
+                  & F.col("item_id").eqNullSafe(F.col("q")), "left_semi"))
+
+
+def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, item_id, n_shingles (of the item), n_shared, containment (at the
+    threshold or above)."""
+    return (_holding(docs, items, threshold)
             .groupBy("doc_id", "item_id").agg(F.max("n").alias("n_shingles"), F.max("shared").alias("n_shared"))
             .withColumn("containment", F.col("n_shared") / F.col("n_shingles")))
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose id holds no item."""
-    gone = pin(search(docs, items, threshold).select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone.hint("merge"), docs.doc_id.eqNullSafe(gone.gone), "left_anti")
+    """The rows of ``docs`` whose text holds no item, judged row by row (by id
+    and text)."""
+    gone = pin(_holding(docs, items, threshold)
+               .select(F.col("doc_id").alias("gone"), F.col("hash").alias("gone_text")).distinct())
+    return docs.join(gone.hint("merge"), (F.xxhash64(docs.text) == gone.gone_text) & docs.doc_id.eqNullSafe(gone.gone),
+                     "left_anti")
 
 
 #: Exact containment over all pairs that share a 5-gram; the search misses one

@@ -135,9 +135,10 @@ def _verify(threshold: float):
     return run
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id (smallest id among linked documents, directly or through
-    others) and n_links (documents at the threshold or above)."""
+def _classes(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """A row for each document: doc_id, node (hash of its text), class_id,
+    n_links, and for texts with words copies (rows of that text) and lead (the
+    class's smallest node)."""
     bands, rows = banding(threshold, recall)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("node"), "text")
     signed = pin(texts.mapInArrow(_signatures(bands, rows), "doc_id long, node long, n long, bands array<long>"))
@@ -162,17 +163,37 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     linked = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"))
     grouped = nodes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    name = grouped.groupBy("root").agg(F.min("first").alias("class_id"))
+    name = grouped.groupBy("root").agg(F.min("first").alias("class_id"), F.min("node").alias("lead"))
     per_node = grouped.join(name, "root").join(links, "node", "left").select(
-        "node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return signed.where("n > 0").select("doc_id", "node").join(per_node, "node").select("doc_id", "class_id", "n_links").union(
-        signed.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+        "node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies", "lead")
+    return signed.where("n > 0").select("doc_id", "node").join(per_node, "node").select(
+        "doc_id", "node", "class_id", "n_links", "copies", "lead").union(
+        signed.where("n = 0").select("doc_id", "node", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+                                     F.lit(None).cast("long").alias("copies"), F.lit(None).cast("long").alias("lead")))
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id (smallest id among linked documents, directly or through
+    others) and n_links (documents at the threshold or above)."""
+    return _classes(docs, threshold, recall).select("doc_id", "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id names their class."""
-    gone = pin(join(docs).where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone.hint("merge"), docs.doc_id.eqNullSafe(gone.gone), "left_anti")
+    """The rows of ``docs`` whose id names their class, judged row by row (by
+    id and text); of a class without an id one row, of the smallest text hash."""
+    nameless = F.col("class_id").isNull() & F.col("lead").isNotNull()
+    alone = (F.col("node") == F.col("lead")) & (F.col("copies") == 1)
+    judged = pin(_classes(docs, THRESHOLD, RECALL)
+                 .where(~F.col("doc_id").eqNullSafe(F.col("class_id")) | nameless & ~alone)
+                 .select(F.col("doc_id").alias("gone"), F.col("node").alias("gone_text"),
+                         (nameless & (F.col("node") == F.col("lead"))).alias("back")).distinct())
+    text = F.xxhash64(docs.text)
+    kept = docs.join(judged.hint("merge"), (text == judged.gone_text) & docs.doc_id.eqNullSafe(judged.gone), "left_anti")
+    # equal rows without an id: all went, one of them comes back
+    back = (docs.where(docs.doc_id.isNull()).join(judged.where("back"), text == F.col("gone_text"), "left_semi")
+            .groupBy(F.xxhash64("text").alias("text_hash"))
+            .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("kept_row")).select("kept_row.*"))
+    return kept.union(back)
 
 
 #: The definition itself: all pairs that share an n-gram, and what their links reach.

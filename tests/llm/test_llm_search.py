@@ -52,6 +52,14 @@ def test_decontamination_of_nothing(spark, odd, empty):
     assert kept.columns == odd.columns and not {10, 11, 14} & {r.doc_id for r in kept.collect()}
 
 
+def test_only_rows_that_hold_an_item_go(spark):
+    item = prose(5, 60)
+    rows = [(1, item, "en"), (1, prose(50, 80), "en"), (None, prose(51, 20) + " " + item, "en"), (None, prose(52, 80), "en"),
+            (None, None, "en"), (2, prose(53, 80), "en")]
+    kept = decontamination.clean(frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(((i, t) for i, t, _ in (rows[1], *rows[3:])), key=str)
+
+
 def test_seeds_that_must_agree():
     from math import comb
     for _, seeds in decontamination.SEEDS:
@@ -119,6 +127,23 @@ def test_join_of_nothing_and_one_of_each(spark, odd, empty):
     assert kept.columns == odd.columns and 7 in ids and not {8, 9} & set(ids) and ids.count(5) == 3
 
 
+def test_one_of_each_is_decided_row_by_row(spark):
+    def near(seed, edit=None):
+        w = prose(seed, 200).split()
+        return " ".join(w if edit is None else w[:edit] + ["edited"] + w[edit + 1:])
+    rows = [(7, near(601), "en"), (7, near(602), "en"), (3, near(601, 90), "en"), (9, near(602, 50), "en"),
+            (None, near(603), "en"), (None, near(604), "en"), (11, near(604, 20), "en"),
+            (None, near(605), "en"), (None, near(605, 70), "en"), (None, near(605), "fr"),
+            (None, near(606), "en"), (None, near(606), "en"), (None, "", "en"), (None, "", "en")]
+    out = ngram_join.one_of_each(frame(spark, rows))
+    kept = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == frame(spark, rows).columns
+    assert sorted(d for d, _ in kept if d is not None) == [3, 7, 11] and (7, near(602)) in kept
+    bare = collections.Counter(t for d, t in kept if d is None)
+    assert bare[near(603)] == 1 and bare[near(604)] == 0 and bare[""] == 2
+    assert bare[near(605)] + bare[near(605, 70)] == 1 and bare[near(606)] == 1
+
+
 def test_banding_reaches_its_recall():
     bands, rows = ngram_join.banding()
     assert bands * rows <= ngram_join.HASHES and 1 - (1 - 0.8 ** rows) ** bands >= ngram_join.RECALL
