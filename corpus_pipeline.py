@@ -50,7 +50,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs)
+    return packing.packed(docs, encode_special_tokens=False)
 
 
 STAGES = [("toxicity", without_toxic), ("ngram_jaccard_join", without_near_copies),

@@ -29,6 +29,7 @@ END = 0
 SHARD_ROWS = 2048   # documents of one shard on average
 QUERY_TERMS = 12    # rarest terms of a seed's leftover that ask the index
 K1, B = 1.2, 0.75
+ADDED = ("<|endoftext|>", 50256)     # the added token of byte_bpe_50k.json
 
 _encoder: dict[str, object] = {}
 
@@ -48,13 +49,22 @@ def encoder(path: str | None = None):
     return _encoder[path]
 
 
-def _tokens(path):
+def encoded(text: str, encode, special_as_text: bool) -> list[int]:
+    """Ids of ``text``; unless ``special_as_text``, the added token is matched
+    first and what stands between is encoded by itself, as tokenizers does."""
+    if special_as_text or ADDED[0] not in text:
+        return encode(text)
+    parts = [encode(part) for part in text.split(ADDED[0])]
+    return parts[0] + [i for part in parts[1:] for i in (ADDED[1], *part)]
+
+
+def _tokens(path, special_as_text):
     def run(batches):
         encode = encoder(path).encode_ordinary
         for part in W.slices(batches, "text"):
             total, crcs, rest = [], [], []
             for text in part.column("text").to_pylist():
-                ids = np.array(encode(text or "") + [END], dtype="<u4")
+                ids = np.array(encoded(text or "", encode, special_as_text) + [END], dtype="<u4")
                 cut = len(ids) // WINDOW * WINDOW
                 total.append(len(ids))
                 crcs.append([zlib.crc32(ids[i:i + WINDOW].tobytes()) for i in range(0, cut, WINDOW)])
@@ -160,13 +170,18 @@ def _pack_shard(rows: pa.Table) -> pa.Table:
                      "shard": np.full(len(doc), shard, dtype=np.int32)})
 
 
-def packed(docs: DataFrame, tokenizer: str | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str | None = None, shard_rows: int = SHARD_ROWS,
+           encode_special_tokens: bool = True) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset, and the shard whose index was asked."""
+    sequence_id, offset, and the shard whose index was asked.
+
+    ``encode_special_tokens`` is the setting of that name in tokenizers: true
+    spells the added token in a text as ordinary pieces, false (there the
+    default, and what the queries use) gives it its id."""
     shards = max(1, -(-docs.count() // shard_rows))
     # text is part of the hash: rows that repeat an id still spread
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard")
     return (docs.select("doc_id", shard, "text")
-            .mapInArrow(_tokens(tokenizer), "doc_id long, shard int, doc_tokens long, crcs array<long>, rest binary, "
+            .mapInArrow(_tokens(tokenizer, encode_special_tokens), "doc_id long, shard int, doc_tokens long, crcs array<long>, rest binary, "
                                             "wide boolean")
             .groupBy("shard").applyInArrow(_pack_shard, _SCHEMA))

@@ -23,7 +23,7 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"))
+    return packing.packed(table(spark, sf_dir, "documents"), encode_special_tokens=False)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,6 +115,26 @@ def test_pieces_rebuild_every_document(spark, odd, shard_rows):
     assert sum(sum(n for _, n in p) < packing.WINDOW for p in filled.values()) <= shards
 
 
+def test_queries_match_the_added_token(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from ledgerlens.llm.queries import QUERIES
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>x"), (3, " \n<|endoftext|>\n y  "), (4, "<|endoftext|"),
+            (5, "<|endoftext|>"), (6, prose(1, 900) + "<|endoftext|>" + prose(2, 900)), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for pieces in (QUERIES["op4_packing"](spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, str(tmp_path))):
+        pieces = pieces.collect()
+        for doc, text in rows:
+            ids = np.array(plain.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
+            mine = sorted((p.start, p.length, p.ids_crc32, p.doc_tokens) for p in pieces if p.doc_id == doc)
+            assert sum(n for _, n, _, _ in mine) == len(ids)
+            assert all(t == len(ids) and c == zlib.crc32(ids[s:s + n].tobytes()) for s, n, c, t in mine)
+
+
 def test_seed_takes_its_nearest_neighbour():
     a, b = np.arange(100, 400), np.arange(1000, 1300)
     docs = [a, b, np.append(a[:250], 9), np.append(b[:250], 9)]
