@@ -27,7 +27,6 @@ from . import words as W
 WINDOW = 1024
 END = 0
 SHARD_ROWS = 2048   # documents of one shard on average
-QUERY_TERMS = 12    # rarest terms of a seed's leftover that ask the index
 K1, B = 1.2, 0.75
 ADDED = ("<|endoftext|>", 50256)     # the added token of byte_bpe_50k.json
 
@@ -92,17 +91,17 @@ class Bm25Shard:
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
         length = 1 - B + B * size / max(size.mean(), 1) if n else size
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + K1 * length[self.own])
-        # terms of each document, the rarest first, that others share
+        # terms of each document that others share
         term = np.repeat(np.arange(len(terms)), df)
         shared = df[term] > 1
-        order = np.lexsort((term[shared], df[term[shared]], self.own[shared]))
+        order = np.lexsort((term[shared], self.own[shared]))
         self.terms = term[shared][order]
         self.first = np.searchsorted(self.own[shared][order], np.arange(n + 1))
         self.n = n
 
     def ask(self, doc: int) -> np.ndarray:
-        """Documents that share a query term with ``doc``, the best first."""
-        terms = self.terms[self.first[doc]:self.first[doc + 1]][:QUERY_TERMS]
+        """Documents that share a term with ``doc``, the best by all its terms first."""
+        terms = self.terms[self.first[doc]:self.first[doc + 1]]
         if not len(terms):
             return terms
         spans = [slice(self.start[t], self.end[t]) for t in terms]
@@ -111,6 +110,13 @@ class Bm25Shard:
         found = np.flatnonzero(got)
         return found[np.lexsort((found, -got[found]))]
 
+    def forget(self, rest: np.ndarray) -> None:
+        """Drop the postings of documents without a rest; weights stay."""
+        keep = rest[self.own] > 0
+        place = np.concatenate([[0], np.cumsum(keep)])
+        self.own, self.weight = self.own[keep], self.weight[keep]
+        self.start, self.end = place[self.start], place[self.end]
+
 
 def pack(ids: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
     """Sequences of (document, start within its leftover, length)."""
@@ -118,7 +124,12 @@ def pack(ids: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
     begin = [0] * len(ids)                       # what of each leftover is packed so far
     rest = [len(x) for x in ids]
     sequences, seed, carry = [], 0, -1
+    left = len(ids)                              # documents with a rest when postings were dropped last
     while True:
+        alive = len(ids) - rest.count(0)
+        if alive < 0.8 * left:
+            index.forget(np.array(rest))
+            left = alive
         doc = carry if carry >= 0 and rest[carry] else -1        # a cut document seeds the next window
         while doc < 0 and seed < len(ids):
             doc, seed = (seed if rest[seed] else -1), seed + 1

@@ -142,6 +142,29 @@ def test_seed_takes_its_nearest_neighbour():
     assert first[:2] == [0, 2]
 
 
+def test_neighbours_are_ranked_by_all_terms():
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 150, size=rng.integers(40, 200)) for _ in range(60)]
+    df = collections.Counter(t for d in docs for t in set(d))
+    mean = sum(map(len, docs)) / len(docs)
+
+    def bm25(ask, d):
+        tf = collections.Counter(d)
+        norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+        return sum(math.log(1 + (len(docs) - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * (packing.K1 + 1) / (tf[t] + norm)
+                   for t in set(ask) if tf[t])
+    index = packing.Bm25Shard(docs)
+    for seed in (0, 17):
+        want = [bm25(docs[seed], d) for d in docs]
+        got = index.ask(seed)
+        assert len(got) == sum(w > 0 for w in want)
+        assert all(want[a] >= want[b] - 1e-9 for a, b in zip(got, got[1:]))
+    rest = np.array([i % 2 for i in range(60)])
+    before = [d for d in index.ask(17) if rest[d]]
+    index.forget(rest)
+    assert list(index.ask(17)) == before
+
+
 def test_packing_of_nothing(empty):
     assert packing.packed(empty).count() == 0
 
