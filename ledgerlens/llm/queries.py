@@ -1,12 +1,12 @@
-"""The ten operators as queries over the driver tables: each with its
+"""The operators as queries over the driver tables: each with its
 production parameters, over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (context_mixing, decontamination, fingerprint, language_id, ngram_join, packing, quality,
-               substring_dedup, toxicity, url_filter)
+from . import (context_mixing, decontamination, fingerprint, language_id, license_scan, ngram_join, packing, quality,
+               substring_dedup, toxicity, url_filter, vafile)
 from .store import held_out, table
 
 
@@ -50,10 +50,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(table(spark, sf_dir, "documents"), held_out("doc_id", 10, 0))
 
 
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_ngram_jaccard_join, op3_document_fingerprints, op4_packing, op5_substring_dedup,
-    op6_url_filters, op7_toxicity, op8_quality_classifier, op9_language_id, op10_lm_scoring)}
+    op6_url_filters, op7_toxicity, op8_quality_classifier, op9_language_id, op10_lm_scoring,
+    op12_license_scans, op13_centroid_clustering)}
 
 #: Only what SQL expresses; the other queries are tested against brute force.
 ORACLE_SQL = {"op1_benchmark_decontamination": decontamination.SQL, "op2_ngram_jaccard_join": ngram_join.SQL,
-              "op5_substring_dedup": substring_dedup.SQL}
+              "op5_substring_dedup": substring_dedup.SQL, "op12_license_scans": license_scan.SQL,
+              "op13_centroid_clustering": vafile.SQL}
