@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (context_mixing, decontamination, fingerprint, language_id, license_scan, ngram_join, packing, quality,
-               substring_dedup, toxicity, url_filter, vafile)
+from . import (context_mixing, decontamination, fingerprint, language_id, license_scan, ngram_join, packing, prefix_trie,
+               quality, substring_dedup, toxicity, url_filter, vafile)
 from .store import held_out, table
 
 
@@ -50,6 +50,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(table(spark, sf_dir, "documents"), held_out("doc_id", 10, 0))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -61,9 +65,9 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_ngram_jaccard_join, op3_document_fingerprints, op4_packing, op5_substring_dedup,
     op6_url_filters, op7_toxicity, op8_quality_classifier, op9_language_id, op10_lm_scoring,
-    op12_license_scans, op13_centroid_clustering)}
+    op11_prefix_trie, op12_license_scans, op13_centroid_clustering)}
 
 #: Only what SQL expresses; the other queries are tested against brute force.
 ORACLE_SQL = {"op1_benchmark_decontamination": decontamination.SQL, "op2_ngram_jaccard_join": ngram_join.SQL,
-              "op5_substring_dedup": substring_dedup.SQL, "op12_license_scans": license_scan.SQL,
+              "op5_substring_dedup": substring_dedup.SQL, "op11_prefix_trie": prefix_trie.SQL, "op12_license_scans": license_scan.SQL,
               "op13_centroid_clustering": vafile.SQL}
