@@ -173,6 +173,10 @@ def prefixes(turns: DataFrame) -> DataFrame:
     return pin(summed.mapInArrow(_keys(_carries(edges)), _KEYED))
 
 
+def _place(k1: np.ndarray, k2: np.ndarray, level: int, size: int) -> np.ndarray:
+    return (W.mix(k1 ^ W.mix(k2 + np.array([level], np.uint64) * _OTHER)) % np.uint64(size)).astype(np.int64)
+
+
 class Slots:
     """A minimal perfect hash over distinct 128-bit digests: level by level, a
     digest alone at its place takes the next slot; the others go on."""
@@ -185,7 +189,7 @@ class Slots:
             if len(self.levels) == 100:
                 raise ValueError("equal digests")
             size = 2 * len(alive)
-            h = self._place(k1[alive], k2[alive], size)
+            h = _place(k1[alive], k2[alive], len(self.levels), size)
             alone = np.bincount(h, minlength=size) == 1
             rank = given + np.cumsum(alone) - 1
             here = alone[h]
@@ -196,15 +200,12 @@ class Slots:
         self.k1, self.k2 = np.empty_like(k1), np.empty_like(k2)
         self.k1[self.slot], self.k2[self.slot] = k1, k2
 
-    def _place(self, k1, k2, size):
-        return (W.mix(k1 ^ W.mix(k2 + np.uint64(len(self.levels)) * _OTHER)) % np.uint64(size)).astype(np.int64)
-
     def find(self, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
         """Slot of each digest, -1 where the slot holds another one."""
         out = np.full(len(k1), -1)
         pending = np.arange(len(k1))
         for level, (alone, rank) in enumerate(self.levels):
-            h = (W.mix(k1[pending] ^ W.mix(k2[pending] + np.uint64(level) * _OTHER)) % np.uint64(len(alone))).astype(np.int64)
+            h = _place(k1[pending], k2[pending], level, len(alone))
             here = alone[h]
             out[pending[here]] = rank[h[here]]
             pending = pending[~here]
