@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.expr import dec, money, month_start, pct, ratio, raw_money, timestamp_ntz
 from ..functions import fixed as V
 from .common import customer_subtotal, product_category, product_totals
-from .ordered import with_ntiles, with_rank, with_running_sum
+from .ordered import with_rank
+from .selection import with_running_sum_within, with_tiles
 
 
 def rank_products_in_category(detail: DataFrame, product: DataFrame, subcategory: DataFrame,
@@ -65,8 +66,9 @@ def seasonality(header: DataFrame) -> DataFrame:
             .orderBy("SalesMonth"))
 
 
-def _rfm_scores(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
-                tiles: int) -> DataFrame:
+def rfm_scores(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
+               tiles: int = V.TILES) -> DataFrame:
+    """CustomerID, Recency, Frequency, Monetary, the three scores and RFM."""
     per_cust = (header.groupBy("CustomerID")
                 .agg(F.max("OrderDate").alias("_last"),
                      F.count("SalesOrderID").alias("Frequency"),
@@ -74,8 +76,8 @@ def _rfm_scores(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.date
     rfm = (per_cust.join(customer.select("CustomerID"), "CustomerID", "left_semi")
            .withColumn("Recency", F.datediff(timestamp_ntz(as_of), F.col("_last")))
            .drop("_last"))
-    rfm = with_ntiles(rfm, "CustomerID", {"R_score": ("Recency", True), "F_score": ("Frequency", False),
-                                          "M_score": ("Monetary", False)}, tiles)
+    rfm = with_tiles(rfm, "CustomerID", {"R_score": ("Recency", True), "F_score": ("Frequency", False),
+                                         "M_score": ("Monetary", False)}, tiles)
     return rfm.withColumn("RFM", F.concat_ws("", "R_score", "F_score", "M_score"))
 
 
@@ -89,23 +91,19 @@ def rfm(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
     """07.5 Recency (days before ``as_of``), frequency and monetary value with
     NTILE scores (5 = best each) concatenated as the RFM code.  Ties in each
     ordering are broken by customer id."""
-    return _rfm_out(_rfm_scores(customer, header, as_of, tiles))
+    return _rfm_out(rfm_scores(customer, header, as_of, tiles))
 
 
 def churn_risk(customer: DataFrame, header: DataFrame, as_of: dt.date | dt.datetime,
                tiles: int = V.TILES, r_score: int = V.CHURN_R_SCORE) -> DataFrame:
     """07.6 The RFM rows with recency score ``r_score`` (filtered after the
     scores are computed over all customers)."""
-    return _rfm_out(_rfm_scores(customer, header, as_of, tiles).where(F.col("R_score") == r_score))
+    return _rfm_out(rfm_scores(customer, header, as_of, tiles).where(F.col("R_score") == r_score))
 
 
 def _pareto(df: DataFrame, key: str, cutoff: Decimal | str) -> DataFrame:
-    ranked = with_running_sum(df, [F.desc("Revenue"), F.asc(key)], "Revenue")
-    # cum / total <= cutoff, compared as products so no quotient is rounded
-    keep = F.when(F.col("_total") > 0, F.col("_cum") <= F.col("_total") * dec(str(cutoff))) \
-        .when(F.col("_total") < 0, F.col("_cum") >= F.col("_total") * dec(str(cutoff)))
-    return (ranked.where(keep)
-            .withColumn("CummulativeRevenuePercent", pct(F.col("_cum"), F.col("_total")))
+    ranked = with_running_sum_within(df, key, "Revenue", cutoff)
+    return (ranked.withColumn("CummulativeRevenuePercent", pct(F.col("_cum"), F.col("_total")))
             .withColumn("Revenue", money("Revenue")))
 
 

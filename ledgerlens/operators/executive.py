@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import AVG_4DP, dec, money, pct, ratio, raw_money
 from ..functions import fixed as V
 from .common import customer_subtotal, product_totals, with_cogs
-from .ordered import with_ntile
+from .selection import with_tiles
 from .profit import territory_profit
 
 
@@ -107,6 +107,6 @@ def low_markup_high_volume(detail: DataFrame, product: DataFrame, max_markup: st
 def top_revenue_customers_tile(header: DataFrame, customer: DataFrame, tiles: int = V.TILES) -> DataFrame:
     """08.8 Customers in the first NTILE(tiles) by SubTotal."""
     clsv = customer_subtotal(header, customer).select("CustomerID", "Revenue")
-    ranked = with_ntile(clsv, [F.desc("Revenue"), F.asc("CustomerID")], tiles, "RevenueGroup")
+    ranked = with_tiles(clsv, "CustomerID", {"RevenueGroup": ("Revenue", True)}, tiles)
     return (ranked.where(F.col("RevenueGroup") == 1)
             .select("CustomerID", raw_money("Revenue").alias("Revenue"), "RevenueGroup"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import MONEY_1DP, money, pct, ratio, raw_money
 from ..functions import fixed as V
 from .common import customer_line_value
-from .ordered import with_ntile
+from .selection import with_tiles
 
 
 def revenue_by_period(detail: DataFrame, date_col: str = "ModifiedDate") -> DataFrame:
@@ -74,7 +74,7 @@ def top_quintile_revenue_share(header: DataFrame, customer: DataFrame, detail: D
     """01.7 Share of revenue from the first NTILE(tiles) of customers by
     lifetime value, formatted 'NN.NN%'."""
     clsv = customer_line_value(header, customer, detail)
-    ranked = with_ntile(clsv, [F.desc("LSV"), F.asc("ID")], tiles, "RNK")
+    ranked = with_tiles(clsv, "ID", {"RNK": ("LSV", True)}, tiles)
     top = F.sum(F.when(F.col("RNK") == 1, F.col("LSV")).otherwise(F.lit(0)))
     share = pct(top, F.sum("LSV"))
     return ranked.agg(F.concat_ws("", share.cast("string"), F.lit(V.PERCENT_SUFFIX)).alias("TOP20%Revenue"))
