@@ -1,20 +1,24 @@
 """Item co-occurrence within baskets ("frequently bought together").
 
-A self-join of lines on the basket key is quadratic per basket and puts a
-hot basket (one order holding a large share of all lines) into one task.
-``co_occurrence`` therefore
-
-1. folds lines to one row per (basket, item) with the line count, partially
-   aggregated before the shuffle;
-2. counts distinct items per basket and cuts a basket whose pairs exceed
-   ``pairs_per_task`` into a grid of r x r cells: an item's row meets the
-   cells of its hash as left side, and those of its hash as right side, so
-   each pair meets in one cell, each cell holds about ``pairs_per_task``
-   pairs, and a row is copied r times (about the root of the cell count).
-   Other baskets are one cell;
-3. joins on (basket, cell) with ``a > b`` and sums ``count_a * count_b`` per
-   item pair with map-side partial aggregation.
+A self-join of lines on the basket key is quadratic per basket, reads the
+lines twice and puts a hot basket (one order holding a large share of all
+lines) into one task.  ``co_occurrence`` makes the pairs inside the baskets,
+there is no second side:
 
+1. lines are folded to one row per (basket, item) with the line count,
+   partially aggregated before the shuffle, so a hot basket arrives as its
+   distinct items;
+2. those rows are gathered to one array per basket, sorted by item, and cut
+   into ranges, so that two of them make about ``pairs_per_task`` pairs.  The triangle of pairs (a > b) of a basket
+   becomes pairs of ranges; a basket of one range is one of them;
+3. range pairs of baskets with several ranges are dealt over all tasks (an
+   item is copied once per range of its basket), the others stay where they
+   are;
+4. each row of items meets the smaller items of the other range, streaming,
+   and ``count_a * count_b`` is summed per item pair with map-side partial
+   aggregation.
+
+An array holds distinct items of one basket: at most the number of products.
 Only ids travel; callers join names to the folded pairs.
 
 Line multiplicity is kept: two lines of item A and three of item B in one
@@ -24,36 +28,41 @@ With ``distinct_baskets=True`` each basket counts once per pair instead.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _pairs(ranges: DataFrame) -> DataFrame:
+    """Every (item_a, item_b) with item_a > item_b from a row's two ranges
+    (the same one, or all of ``upper`` above all of ``lower``)."""
+    above = ranges.select("same", "lower", F.posexplode("upper").alias("pos", "a"))
+    below = F.when(F.col("same"), F.slice("lower", 1, F.col("pos"))).otherwise(F.col("lower"))
+    return (above.select("a", F.explode(below).alias("b"))
+            .select(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"), (F.col("a.n") * F.col("b.n")).alias("n")))
+
+
 def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bool = False,
                   pairs_per_task: int = 5_000_000) -> DataFrame:
     """Return (``item_a``, ``item_b``, ``pairs``) for item_a > item_b."""
+    size = max(1, math.isqrt(pairs_per_task))           # items of a range
+    count = F.lit(1).cast("long") if distinct_baskets else F.count(F.lit(1))
     per = (lines.where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-           .groupBy(basket, item).agg(F.count(F.lit(1)).alias("_c")))
-    if distinct_baskets:
-        per = per.withColumn("_c", F.lit(1).cast("long"))
-
-    # pairs in a basket of d items: d*(d-1)/2, in r*r cells
-    pairs = F.col("_d") * (F.col("_d") - 1) / F.lit(2.0)
-    hot = (per.groupBy(basket).agg(F.count(F.lit(1)).alias("_d")).where(pairs > pairs_per_task)
-           .select(basket, F.ceil(F.sqrt(pairs / pairs_per_task)).cast("int").alias("_r")))
-    keyed = per.join(hot, basket, "left").withColumn("_r", F.coalesce("_r", F.lit(1)))
-    own = F.pmod(F.xxhash64(F.col(item)), F.col("_r")).cast("int")
-
-    def side(name: str, count: str, cell_of) -> DataFrame:
-        plain = keyed.where(F.col("_r") == 1).select(basket, F.col(item).alias(name), F.col("_c").alias(count),
-                                                     F.lit(0).alias("_cell"))
-        cells = F.transform(F.sequence(F.lit(0), F.col("_r") - 1), cell_of)
-        copied = keyed.where(F.col("_r") > 1).select(basket, F.col(item).alias(name), F.col("_c").alias(count),
-                                                     F.explode(cells).alias("_cell"))
-        return plain.unionByName(copied)
-
-    left = side("item_a", "_ca", lambda k: own * F.col("_r") + k)
-    right = side("item_b", "_cb", lambda k: k * F.col("_r") + own)
-    return (left.join(right, [basket, "_cell"])
-            .where(F.col("item_a") > F.col("item_b"))
-            .groupBy("item_a", "item_b")
-            .agg(F.sum(F.col("_ca") * F.col("_cb")).alias("pairs")))
+           .groupBy(F.col(basket).alias("basket"), F.col(item).alias("item")).agg(count.alias("n")))
+    items = per.groupBy("basket").agg(F.array_sort(F.collect_list(F.struct("item", "n"))).alias("items"))
+
+    one = items.where((F.size("items") > 1) & (F.size("items") <= size))
+    one = one.select(F.lit(True).alias("same"), F.col("items").alias("lower"), F.col("items").alias("upper"))
+
+    many = items.where(F.size("items") > size)
+    last = F.ceil(F.size("items") / size).cast("int") - 1
+    cut = lambda k: F.slice("items", k * size + 1, size)
+    many = (many.select("basket", "items", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+            .select("basket", "items", "i", F.explode(F.sequence(F.lit(0), F.col("i"))).alias("j"))
+            .select((F.col("i") == F.col("j")).alias("same"), cut(F.col("j")).alias("lower"), cut(F.col("i")).alias("upper"),
+                    F.xxhash64("basket", "i", "j").alias("deal")))
+    many = many.repartition("deal").drop("deal")
+
+    return (_pairs(one).unionByName(_pairs(many))
+            .groupBy("item_a", "item_b").agg(F.sum("n").alias("pairs")))

@@ -50,12 +50,18 @@ def inventory_value_by_location(inventory: DataFrame, product: DataFrame,
             .orderBy(F.desc("COGS"), "LocationID"))
 
 
-def purchase_cost_trend(po_header: DataFrame, po_detail: DataFrame, vendor: DataFrame) -> DataFrame:
-    """04.5 Purchase order line totals per vendor and order year."""
-    per_po = po_detail.groupBy("PurchaseOrderID").agg(F.sum("LineTotal").alias("_lt"))
-    per_year = (po_header.select("PurchaseOrderID", "VendorID", F.year("OrderDate").alias("Years"))
-                .join(per_po, "PurchaseOrderID")
-                .groupBy("VendorID", "Years").agg(money(F.sum("_lt")).alias("PurchasingCost")))
+def purchase_cost_trend(po_header: DataFrame, po_detail: DataFrame | None, vendor: DataFrame) -> DataFrame:
+    """04.5 Purchase order line totals per vendor and order year.
+
+    A header that carries its order's ``LineTotal`` needs no ``po_detail``:
+    the lines are then neither grouped nor joined by order again."""
+    if po_detail is None:
+        per_po = po_header.withColumnRenamed("LineTotal", "_lt")
+    else:
+        per_po = po_header.select("PurchaseOrderID", "VendorID", "OrderDate").join(
+            po_detail.groupBy("PurchaseOrderID").agg(F.sum("LineTotal").alias("_lt")), "PurchaseOrderID")
+    per_year = (per_po.groupBy("VendorID", F.year("OrderDate").alias("Years"))
+                .agg(money(F.sum("_lt")).alias("PurchasingCost")))
     v = vendor.select(F.col("BusinessEntityID").alias("VendorID"), F.col("Name").alias("VendorName"))
     return (per_year.join(v, "VendorID")
             .select("VendorID", "VendorName", "Years", "PurchasingCost")

@@ -88,7 +88,7 @@ QUERIES: dict[str, Query] = {
     "q04_4_inventory_value_by_location": _q(
         lambda d: operations.inventory_value_by_location(d.inventory(), d.product(), d.location())),
     "q04_5_purchase_cost_trend": _q(
-        lambda d: operations.purchase_cost_trend(d.po_header(), d.po_detail(), d.vendor())),
+        lambda d: operations.purchase_cost_trend(d.po_header(line_total=True), None, d.vendor())),
     # 05 profitability
     "q05_1_gross_profit_by_product_category_year": _q(
         lambda d: profit.gross_profit_by_product_category_year(

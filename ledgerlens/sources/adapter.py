@@ -170,21 +170,26 @@ class SalesData:
         # text of both parts: no two (order, supplier) pairs share it, however large the keys
         return F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_suppkey").cast("string"))
 
-    def po_header(self) -> DataFrame:
+    def po_header(self, line_total: bool = False) -> DataFrame:
+        """Purchasing.PurchaseOrderHeader; ``line_total`` adds each order's sum of
+        line totals (``LineTotal``) in the same fold of the lines."""
         li = self.raw("lineitem")
         o = self.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                       F.col("o_orderdate").alias("OrderDate"))
         po = (li.groupBy("l_orderkey", "l_suppkey")
-              .agg(F.max("l_shipdate").alias("ShipDate")))
+              .agg(F.max("l_shipdate").alias("ShipDate"), F.sum(self._po_line()).alias("LineTotal")))
         return (po.join(o, "l_orderkey")
                 .select(self._po_key().alias("PurchaseOrderID"),
                         F.col("l_suppkey").alias("VendorID"),
-                        "OrderDate", "ShipDate"))
+                        "OrderDate", "ShipDate", *(["LineTotal"] if line_total else [])))
+
+    def _po_line(self) -> Column:
+        return _dec("l_extendedprice", 18, 2).cast("decimal(18,4)")
 
     def po_detail(self) -> DataFrame:
         return self.raw("lineitem").select(
             self._po_key().alias("PurchaseOrderID"),
-            _dec("l_extendedprice", 18, 2).cast("decimal(18,4)").alias("LineTotal"))
+            self._po_line().alias("LineTotal"))
 
     def vendor(self) -> DataFrame:
         return self.raw("supplier").select(F.col("s_suppkey").alias("BusinessEntityID"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schemas
@@ -39,6 +40,14 @@ class TableData:
     def header(self, territory: bool = False, ship_date: bool = False) -> DataFrame:
         return self._table("header")       # both columns are stored here
 
+    def po_header(self, line_total: bool = False) -> DataFrame:
+        """Purchase orders; with ``line_total`` those that have lines, and their sum."""
+        header = self._table("po_header")
+        if line_total:
+            totals = self._table("po_detail").groupBy("PurchaseOrderID").agg(F.sum("LineTotal").alias("LineTotal"))
+            header = header.join(totals, "PurchaseOrderID")
+        return header
+
     def __getattr__(self, key: str):
         if key not in schemas.ALL:
             raise AttributeError(key)
