@@ -13,27 +13,29 @@ logarithm of the value range, to base ``BINS``, whatever the row count.
 
 Bins are cut in whole units of the column (exact decimals and whole numbers),
 so no border depends on rounding.  Tiles are then comparisons with literals:
-no sort, no exchange, no join, no table written.
+no sort, no exchange, no join.
 
-The scanned columns are persisted for the rounds and released after them; a
-lost executor's part is computed again.
+The rows are written once, in the checkpoint folder: rounds and result read
+what was folded from the facts instead of folding them again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from decimal import Decimal
+from decimal import Context, Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..pinned import pin
 from .ordered import with_ntiles, with_running_sum
 
 BINS = 1024
-ENOUGH = 4096
+ENOUGH = 16_384
+_EXACT = Context(prec=80)
 
 
 def _scale(data_type: T.DataType) -> int | None:
@@ -49,10 +51,7 @@ def exact(df: DataFrame, *columns: str) -> bool:
 
 def _units(value, scale: int) -> int:
     """A collected value in units of 10**-scale."""
-    if isinstance(value, int):
-        return value * 10 ** scale
-    sign, digits, exponent = value.as_tuple()
-    return (-1 if sign else 1) * int("".join(map(str, digits))) * 10 ** (scale + exponent)
+    return int(_EXACT.scaleb(Decimal(value), scale))
 
 
 def _lit(units: int, scale: int) -> Column:
@@ -85,10 +84,10 @@ class _Interval:
 
 
 class _Rows:
-    """The persisted columns: the key ``k`` and, per ordering, ``y`` columns
-    whose ascending order (nulls placed) is the wanted order."""
+    """Of a written table the key ``k`` and, per ordering, ``y`` columns whose
+    ascending order (nulls placed) is the wanted order."""
 
-    def __init__(self, df: DataFrame, key: str, orders: dict[str, tuple[str, bool]]):
+    def __init__(self, df: DataFrame, key: str, orders: dict[str, tuple[str, bool]], *more: Column):
         kinds = {c: df.schema[c].dataType for c in {key, *(c for c, _ in orders.values())}}
         self.scales = {"k": _scale(kinds[key]), **{f"y_{name}": _scale(kinds[c]) for name, (c, _) in orders.items()}}
         columns = [_number(key, kinds[key]).alias("k")]
@@ -97,10 +96,11 @@ class _Rows:
             columns.append((-number if descends else number).alias(f"y_{name}"))
         self.plain = dict(zip(self.scales, columns))
         self.nulls_last = {f"y_{name}": descends for name, (_, descends) in orders.items()} | {"k": False}
-        self.rows = df.select(*columns).persist()
+        self.rows = df.select(*columns)
         ends = [f(c).alias(f"{c}_{f.__name__}") for c in self.scales for f in (F.min, F.max)]
-        r = self.rows.agg(F.count(F.lit(1)).alias("n"), *ends).first()
-        self.n = r.n
+        found = self.rows.agg(F.count(F.lit(1)).alias("n"), *ends, *more)
+        self.schema, r = found.schema, found.first()
+        self.found, self.n = r, r.n
         self.common = max(s for c, s in self.scales.items() if c != "k")
         self.range, self.known, self.at_null = {}, {}, {}         # with and without the place of nulls
         for c, s in self.scales.items():
@@ -147,8 +147,9 @@ class _Rows:
     def fetch(self, intervals: Sequence[_Interval]) -> list[list[tuple[int, int]]]:
         """The (y, k) of every row of the intervals, in order."""
         out = [[] for _ in intervals]
-        for r in self._in_slots(intervals, lambda i: (self._shared(i.y), self.column("k").alias("k"))).collect():
-            out[r.slot].append((self._own(r.y, intervals[r.slot].y), _units(r.k, self.scales["k"])))
+        rows = self._in_slots(intervals, lambda i: (self._shared(i.y), self.column("k").alias("k"))).toArrow()
+        for slot, y, k in zip(*(rows[c].to_pylist() for c in ("slot", "y", "k"))):
+            out[slot].append((self._own(y, intervals[slot].y), _units(k, self.scales["k"])))
         return [sorted(rows) for rows in out]
 
     def whole(self, y: str) -> _Interval:
@@ -207,11 +208,11 @@ def with_tiles(df: DataFrame, key: str, orders: dict[str, tuple[str, bool]], til
     numbers and decimals go the way of sorting (``with_ntiles``)."""
     if not exact(df, key, *(c for c, _ in orders.values())):
         return with_ntiles(df, key, orders, tiles)
+    df = pin(df, "tiled")
     rows = _Rows(df, key, orders)
     ends = tile_ends(rows.n, tiles)
     names = [(name, e) for name in orders for e in ends]
     borders = _at_ranks(rows, [(e, rows.whole(f"y_{name}")) for name, e in names])
-    rows.rows.unpersist()
     out = df
     for name in orders:
         tile = F.lit(1)
@@ -258,12 +259,10 @@ def with_running_sum_within(df: DataFrame, key: str, value: str, cutoff: Decimal
         ranked = with_running_sum(df, [F.desc(value), F.asc(key)], value)
         limit = F.col("_total") * F.lit(share)
         return ranked.where(F.when(F.col("_total") > 0, F.col("_cum") <= limit).when(F.col("_total") < 0, F.col("_cum") >= limit))
-    rows = _Rows(df, key, {"v": (value, True)})
-    scale = rows.scales["y_v"]
+    df = pin(df, "cutoff")
     v = F.col("y_v")
-    sums = rows.rows.agg(F.sum(-v).alias("total"), F.sum(F.when(v < 0, -v)).alias("gains"))
-    total_type = sums.schema["total"].dataType
-    r = sums.first()
+    rows = _Rows(df, key, {"v": (value, True)}, F.sum(-v).alias("total"), F.sum(F.when(v < 0, -v)).alias("gains"))
+    r, scale, total_type = rows.found, rows.scales["y_v"], rows.schema["total"].dataType
     total = 0 if r.total is None else _units(r.total, scale)
     kept = df.where(F.lit(False))
     if total:
@@ -274,5 +273,4 @@ def with_running_sum_within(df: DataFrame, key: str, value: str, cutoff: Decimal
         border = _crossing(rows, "y_v", sign, limit)
         kept = df.where(~(_after(rows, "y_v", border) | ((rows.column("y_v", True) == rows.lit("y_v", border[0]))
                                                          & (rows.column("k", True) == rows.lit("k", border[1])))))
-    rows.rows.unpersist()
     return with_running_sum(kept, [F.desc(value), F.asc(key)], value).withColumn("_total", _lit(total, scale).cast(total_type))

@@ -115,12 +115,12 @@ def test_rounds_do_not_grow_with_the_rows(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("name", ["q01_7_top_quintile_revenue_share", "q07_5_rfm", "q07_6_churn_risk", "q08_8_top_revenue_customers_tile"])
-def test_tiles_write_and_sort_nothing(spark, sf_small, monkeypatch, name):
-    written = []
-    for module in (ordered, pinned):
-        monkeypatch.setattr(module, "pin", lambda df, n="x": written.append(n))
+def test_tiles_write_once_and_sort_and_join_nothing(spark, sf_small, monkeypatch, name):
+    written, pin = [], pinned.pin
+    for module in (ordered, selection):
+        monkeypatch.setattr(module, "pin", lambda df, n="x": (written.append(n), pin(df, n))[1])
     text = physical_plan(QUERIES[name](spark, sf_small))
-    assert not written and "Window" not in text and "InMemoryTableScan" not in text
+    assert written == ["tiled"] and "Window" not in text and "Join" not in text
     ranges = [line for line in text.splitlines() if "rangepartitioning" in line]
     assert all("RFM" in line for line in ranges)              # the result's own ORDER BY
 
