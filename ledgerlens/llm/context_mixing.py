@@ -1,29 +1,41 @@
 """Language-model scores by logistic context mixing.
 
-A document is its tokens: words, then one end.  A word is spelled in bytes
-and closed by a space; every byte is a walk of binary decisions down one code
-tree.  Several hashed contexts (the word so far, with and without the document's
-class, and the last 1, 2, 3, 4 and 6 bytes) each predict every decision from
-counts; the predictions are mixed as logits with weights chosen by a gate (how
-much the two strongest contexts have seen), and the mixed probability is
-refined by an adaptive map per tree node.  The class of a document is the
-hash of its most frequent word; it is paid for like any other symbol.
-
-Spelling a word depends on the word and the class alone, so each distinct
-(word, class) of the corpus is scored once:
-
-1. documents become blocks: token ids into the block's own sorted dictionary;
-2. dictionaries are dealt by word hash into buckets and merged: training
-   counts of every (word, class) of the corpus, and each block's places;
-3. buckets add up the contexts' counts (tables of fixed size), then fit
-   weights and map online, each occurrence judged without itself;
-4. buckets answer each block with its entries' counts and log-probabilities;
-   a block sums them per document.
+A document is its tokens: words, then one end.  Every token is a walk of binary
+decisions, each predicted by several hashed contexts whose predictions are
+mixed as logits, with weights chosen by a gate (how much the strongest
+contexts have seen); the mixed probability is refined by an adaptive map.
+
+* Context over the text, the word before: is this token the commonest follower
+  of that word?  If not, the second commonest?  Predicted from the followers'
+  counts (``Followers``).
+* If neither, the token is spelled in bytes and closed by a space; every byte is
+  a walk down one code tree.  Contexts: the word so far, and the last 1, 2, 3
+  and 4 bytes.
+
+What a word is spelled for depends on the word alone and what a follower costs
+on the pair alone, so each distinct word and pair of the corpus is scored once:
+
+1. documents become blocks: token ids into the block's own sorted dictionary,
+   and for every word of it the followers it has there;
+2. dictionaries are dealt by word code into buckets and merged: training counts
+   of every word and pair of the corpus, and each block's places.  A code begins
+   with the hash of the word's first ``HEAD`` bytes, so words that share them
+   meet in one bucket, where the contexts "word so far" from that length on and
+   all followers are counted exactly, in arrays as large as what they count;
+3. buckets add up the counts of the short letter contexts, then fit weights and
+   map online, each occurrence judged without itself;
+4. buckets answer each block with its words' and pairs' log-probabilities; a
+   block sums them per document.
+
+So the model grows with the corpus: word counts, pairs and word prefixes stay
+in the buckets, and nothing of the vocabulary reaches the driver.  Only contexts
+of at most four bytes have tables of fixed size (``SLOTS``, sent to the
+executors): there are no more of them however long the corpus is, as far as
+the alphabet goes; contexts that share a slot share their counts.
 
 Memory: a block holds ``BLOCK`` bytes of text at most (one longer text is a
-block of its own), a bucket about ``BUCKET`` dictionary entries, the model
-``sum(1 << s for s in SLOTS) * 8`` bytes; a word that all documents use is one
-entry per block.  Nothing of the vocabulary reaches the driver.
+block of its own), a bucket about ``BUCKET`` dictionary entries with their
+pairs, but at least the words of one head.
 
 Cases: null text is an empty one (one end token); a null doc_id is a training
 row; repeated rows each get their row; with nothing to train on the base score
@@ -47,32 +59,25 @@ from .store import pin, tidy, unpin
 
 BLOCK = 8 << 20
 BUCKET = 200_000
-CLASSES = 32
-ORDERS = (1, 2, 3, 4, 6)                    # bytes of the plain contexts
-SLOTS = (21, 21, 16, 18, 19, 20, 20)        # table sizes: word so far with class, without, then ORDERS
+HEAD = 3                                    # bytes that words of one bucket share; one more for every thirtyfold beyond 50 GB
+ORDERS = (1, 2, 3, 4)                       # bytes of the letter contexts
+SLOTS = (18, 16, 18, 19, 20)                # table sizes: word so far below HEAD, then ORDERS
 PRIOR = 0.4
 _SYMBOLS = 1 << 15                          # bytes spelled at once
 _ROWS = 4096
-_TAG = np.uint64(CLASSES * 2 - 1)           # low bits of a code: the class
-END = np.uint64(0xD1B54A32D192ED03) & ~_TAG
-_GATES = 24
+_LOW = np.uint64((1 << 40) - 1)             # bits of a code below those of its head
+END = np.uint64(0xD1B54A32D192ED03)
+_WIDTH = len(SLOTS) + 1                     # predictions mixed: contexts and a constant
+_LETTER_GATES = 24
+_WORD_GATES = 20
+_GATES = _LETTER_GATES + 2 * _WORD_GATES
 _BINS = 24
+_NODES = 258                                # of the code tree, then the first and the second follower
 
 
-def _classes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Class of each text: hash of its most frequent word (the first by hash
-    among equals); 0 without words."""
-    own = W.owner(first)
-    key = np.sort((own.astype(np.uint64) << np.uint64(52)) | (h >> np.uint64(12)))
-    out = np.zeros(len(first) - 1, np.int64)
-    if len(key):
-        lead = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        many = np.diff(np.append(lead, len(key)))
-        doc = (key[lead] >> np.uint64(52)).astype(np.int64)
-        order = np.lexsort((np.arange(len(lead)), -many, doc))
-        have, at = np.unique(doc[order], return_index=True)
-        out[have] = (W.mix(key[lead[order[at]]] << np.uint64(12)) % np.uint64(CLASSES)).astype(np.int64)
-    return out
+def _follower(code: np.ndarray) -> np.ndarray:
+    """What tells the followers of one word apart: 32 mixed bits of the code."""
+    return (W.mix(code) >> np.uint64(32)).astype("<u4")
 
 
 def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -81,27 +86,26 @@ def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
 
 
 def _slice(part: pa.RecordBatch):
-    """Tokens of some texts: per text its class and token count; per token its
-    dictionary place; the dictionary (code, training count, word)."""
+    """Tokens of some texts: per text its token count; per token its dictionary
+    place; the dictionary (code, training count, length, word)."""
     data, offs = W.column_bytes(part.column("text"))
     data = W.LOWER[data]
     start, end, first = W.find(data, offs)
     h = W.hashes(data, start, end)
-    group = _classes(h, first)
+    head = W.hashes(data, start, np.minimum(end, start + HEAD))
     n_docs, n_words = len(offs) - 1, np.diff(first)
     # an end after the words of each text: its word is one line feed after the data
     at = np.arange(len(h)) + W.owner(first)
     last = np.cumsum(n_words + 1) - 1
     code, s, e = (np.empty(len(h) + n_docs, t) for t in (np.uint64, np.int64, np.int64))
-    code[at], s[at], e[at] = h & ~_TAG, start, end
+    code[at], s[at], e[at] = head & ~_LOW | h >> np.uint64(24), start, end
     code[last], s[last], e[last] = END, len(data), len(data) + 1
     own = np.repeat(np.arange(n_docs), n_words + 1)
-    code |= group[own].astype(np.uint64)
     train = ~part.column("held_out").to_numpy(zero_copy_only=False)
     entry, pick, place = np.unique(code, return_index=True, return_inverse=True)
     count = np.bincount(place, weights=train[own], minlength=len(entry)).astype(np.int64)
     length = (e - s)[pick]
-    return group, n_words + 1, place, entry, count, length, _gather(np.append(data, np.uint8(10)), s[pick], length)
+    return n_words + 1, place, entry, count, length, _gather(np.append(data, np.uint8(10)), s[pick], length)
 
 
 def _merge(entries, counts, lengths, words):
@@ -114,8 +118,16 @@ def _merge(entries, counts, lengths, words):
     return merged, count, length[pick], _gather(np.concatenate(words), start[pick], length[pick]), place
 
 
-_BLOCK_FIELDS = ("block long, doc_id array<long>, held_out array<boolean>, class array<long>, tokens array<long>, "
-                 "low binary, high binary, code binary, count binary, length binary, words binary")
+def _pairs(ids: np.ndarray, entries: int, end: int):
+    """Of a block's tokens: distinct (word before, word) as one number, and
+    which of them each token is.  Before a text's first word stands an end."""
+    before = np.concatenate([[end], ids[:-1]])
+    return np.unique(before.astype(np.int64) * entries + ids, return_inverse=True)
+
+
+_BLOCK_FIELDS = ("block long, doc_id array<long>, held_out array<boolean>, tokens array<long>, low binary, high binary, code binary, "
+                 "count binary, length binary, words binary, fan binary, follow binary, times binary")
+_PIECE = ("code", "count", "length", "words", "fan", "follow", "times")
 
 
 def _blocks(batches):
@@ -123,22 +135,26 @@ def _blocks(batches):
 
     def close():
         nonlocal number
-        entry, count, length, words, place = _merge(*[[x[k] for _, x in held] for k in (3, 4, 5, 6)])
-        shift = np.cumsum([0] + [len(x[3]) for _, x in held])
-        ids = place[np.concatenate([x[2] + o for (_, x), o in zip(held, shift)])].astype("<u4")
+        entry, count, length, words, place = _merge(*[[x[k] for _, x in held] for k in (2, 3, 4, 5)])
+        shift = np.cumsum([0] + [len(x[2]) for _, x in held])
+        ids = place[np.concatenate([x[1] + o for (_, x), o in zip(held, shift)])].astype("<u4")
         docs = pa.chunked_array([p.column("doc_id").cast(pa.int64()) for p, _ in held]).combine_chunks()
         out = pa.chunked_array([p.column("held_out") for p, _ in held]).combine_chunks()
+        many = np.concatenate([x[0] for _, x in held])
+        pair, which = _pairs(ids, len(entry), int(np.searchsorted(entry, END)))
+        train = np.repeat(~out.to_numpy(zero_copy_only=False), many)
+        times = np.bincount(which, weights=train, minlength=len(pair))
+        fan = np.bincount(pair // len(entry), minlength=len(entry))
         block = (TaskContext.get().partitionId() << 24) + number
         number += 1
         ids = ids.view("<u2").reshape(-1, 2)
         return pa.RecordBatch.from_arrays(
             [pa.array([block]), pa.array([docs.to_pylist()], pa.list_(pa.int64())),
-             pa.array([out.to_pylist()], pa.list_(pa.bool_())),
-             pa.array([np.concatenate([x[0] for _, x in held])], pa.list_(pa.int64())),
-             pa.array([np.concatenate([x[1] for _, x in held])], pa.list_(pa.int64())),
+             pa.array([out.to_pylist()], pa.list_(pa.bool_())), pa.array([many], pa.list_(pa.int64())),
              *(pa.array([b], pa.binary()) for b in (
                  ids[:, 0].tobytes(), ids[:, 1].astype("<u2").tobytes(), entry.astype("<u8").tobytes(),
-                 count.astype("<u4").tobytes(), length.astype("<u4").tobytes(), words.tobytes()))],
+                 count.astype("<u4").tobytes(), length.astype("<u4").tobytes(), words.tobytes(), fan.astype("<u4").tobytes(),
+                 _follower(entry)[pair % len(entry)].tobytes(), times.astype("<u4").tobytes()))],
             names=[f.split()[0] for f in _BLOCK_FIELDS.split(", ")])
 
     for part in W.slices(batches, "text"):
@@ -154,27 +170,28 @@ def _blocks(batches):
         yield close()
 
 
-_BUCKET_FIELDS = ("bucket int, code binary, count binary, length binary, words binary, blocks array<long>, "
-                  "sizes array<long>, places binary, words_seen long, tokens_seen long")
+_BUCKET_FIELDS = ("bucket int, code binary, count binary, length binary, words binary, blocks array<long>, sizes array<long>, "
+                  "places binary, fan binary, follow binary, times binary, words_seen long, tokens_seen long")
 
 
 def _deal(buckets: int):
-    """Entries of each block's dictionary by bucket: equal ranges of the code."""
-    edges = np.array([(i << 64) // buckets & ~int(_TAG) for i in range(1, buckets)], dtype=np.uint64)
+    """Entries of each block's dictionary by bucket: equal ranges of the heads."""
+    edges = np.array([((i << 24) // buckets) << 40 for i in range(1, buckets)], dtype=np.uint64)
 
     def run(batches):
         for b in batches:
             for r in range(b.num_rows):
-                block, code, count, length, words = (b.column(c)[r].as_py() for c in ("block", "code", "count", "length", "words"))
-                code = np.frombuffer(code, "<u8")
-                length = np.frombuffer(length, "<u4")
+                block, *piece = (b.column(c)[r].as_py() for c in ("block", *_PIECE))
+                code, count, length, words, fan, follow, times = piece
+                code, length, fan = np.frombuffer(code, "<u8"), np.frombuffer(length, "<u4"), np.frombuffer(fan, "<u4")
                 cut = np.concatenate([[0], np.searchsorted(code, edges), [len(code)]])
-                at = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
-                rows = [(int(k), block, code[x:y].tobytes(), count[4 * x:4 * y], length[x:y].tobytes(), words[at[x]:at[y]])
+                at, pair = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (length, fan))
+                rows = [(int(k), block, code[x:y].tobytes(), count[4 * x:4 * y], length[x:y].tobytes(), words[at[x]:at[y]],
+                         fan[x:y].tobytes(), follow[4 * pair[x]:4 * pair[y]], times[4 * pair[x]:4 * pair[y]])
                         for k, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), *[pa.binary()] * 4))],
-                    names=["bucket", "block", "code", "count", "length", "words"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), *[pa.binary()] * len(_PIECE)))],
+                    names=["bucket", "block", *_PIECE])
     return run
 
 
@@ -184,14 +201,13 @@ def _bucket(rows: pa.Table) -> pa.Table:
         ("code", "<u8"), ("count", "<u4"), ("length", "<u4"), ("words", "u1")))
     sizes = [len(c) for c in code]
     code, count, length, words, place = _merge(code, count, [x.astype(np.int64) for x in length], words)
-    word, at = np.unique(code & ~_TAG, return_inverse=True)
-    seen = np.bincount(at, weights=count, minlength=len(word))
     return pa.table({
         "bucket": rows["bucket"].slice(0, 1), "code": [code.astype("<u8").tobytes()],
         "count": [count.astype("<u8").tobytes()], "length": [length.astype("<u4").tobytes()], "words": [words.tobytes()],
         "blocks": pa.array([rows["block"].to_pylist()], pa.list_(pa.int64())),
         "sizes": pa.array([sizes], pa.list_(pa.int64())), "places": [place.astype("<u4").tobytes()],
-        "words_seen": [int((seen > 0).sum())], "tokens_seen": [int(seen.sum())]})
+        **{c: pa.array([b"".join(rows[c].to_pylist())], pa.binary()) for c in ("fan", "follow", "times")},
+        "words_seen": [int((count > 0).sum())], "tokens_seen": [int(count.sum())]})
 
 
 def code_tree(frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -219,9 +235,9 @@ def code_tree(frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def _spelled(code, length, words):
     """Bytes of the words with their closing space (an end has none), the word
-    of each, and the hash of each context before it."""
-    is_end = (code & ~_TAG) == END
-    total = length + ~is_end
+    of each, its place there, and the hash of each context before it: the word
+    so far, then ``ORDERS``."""
+    total = length + (code != END)
     edge = np.concatenate([[0], np.cumsum(total)])
     sym = np.full(edge[-1], 0x20, np.uint8)
     body = np.concatenate([[0], np.cumsum(length)])
@@ -230,31 +246,48 @@ def _spelled(code, length, words):
     pos = np.arange(len(sym)) - edge[:-1][own]
     sums, down = W.prefix(sym.astype(np.uint64) + np.uint64(1), W._BYTES)
     here = np.arange(len(sym))
-    so_far = W.spans(sums, down, edge[:-1][own], here)
-    contexts = [so_far ^ W.mix((code & _TAG)[own] + np.uint64(77)), so_far]
+    contexts = [W.spans(sums, down, edge[:-1][own], here)]
     for order in ORDERS:
         contexts.append(W.spans(sums, down, here - np.minimum(pos, order), here) + np.uint64(order))
-    return sym, own, contexts
+    return sym, own, pos, contexts
 
 
 def _decisions(tree, bucket):
-    """Chunks of binary decisions: word, node, bit, and each context's slot."""
+    """Chunks of binary decisions: word, node, bit, whether the word so far is
+    short of ``HEAD``, the key of the word so far, each context's slot."""
     begin, depth, nodes, bits = tree
     code, length, words = bucket
     edge = np.concatenate([[0], np.cumsum(length)])
     cuts = np.searchsorted(edge, np.arange(0, edge[-1] + _SYMBOLS, _SYMBOLS))
     cuts = np.unique(np.append(np.minimum(cuts, len(code)), [0, len(code)]))
     for a, b in zip(cuts[:-1], cuts[1:]):
-        sym, own, contexts = _spelled(code[a:b], length[a:b], words[edge[a]:edge[b]])
+        sym, own, pos, contexts = _spelled(code[a:b], length[a:b], words[edge[a]:edge[b]])
         many = depth[sym]
         rep = np.repeat(np.arange(len(sym)), many)
         first = np.concatenate([[0], np.cumsum(many)])[:-1]
         step = begin[sym][rep] + np.arange(len(rep)) - first[rep]
         node = nodes[step]
         salt = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        slots = [((c[rep] ^ salt) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - size)).astype(np.int64)
-                 for c, size in zip(contexts, SLOTS)]
-        yield a + own[rep], node, bits[step], slots
+        keys = [(c[rep] ^ salt) * np.uint64(0xD6E8FEB86659FD93) for c in contexts]
+        slots = [(k >> np.uint64(64 - size)).astype(np.int64) for k, size in zip(keys, SLOTS)]
+        yield a + own[rep], node, bits[step], (pos < HEAD)[rep], keys[0], slots
+
+
+class Prefixes:
+    """Exact counts of the bucket's contexts "word so far" from ``HEAD`` on."""
+
+    def __init__(self, tree, bucket, count):
+        parts = [(key[~short], np.stack([(1 - bit) * count[word], bit * count[word]])[:, ~short])
+                 for word, _, bit, short, key, _ in _decisions(tree, bucket)]
+        self.keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        seen = np.concatenate([n for _, n in parts], axis=1)
+        self.counts = [np.bincount(at, weights=n, minlength=len(self.keys)) for n in seen]
+
+    def add(self, n0, n1, short, key):
+        """Counts of the short contexts, replaced where the word so far is long."""
+        long = np.flatnonzero(~short)
+        at = np.searchsorted(self.keys, key[long])
+        n0[long], n1[long] = self.counts[0][at], self.counts[1][at]
 
 
 def _open(row):
@@ -263,6 +296,55 @@ def _open(row):
     return (code, length.astype(np.int64), words), count.astype(np.float64)
 
 
+class Followers:
+    """Training counts of a bucket's pairs: which pair each block's pairs are
+    (``which``), and of each pair its word ``w`` and count ``n``; of each word
+    all occurrences, distinct followers, and the two commonest (-1: none)."""
+
+    def __init__(self, row, words: int):
+        place, fan, follow, times = (np.frombuffer(row[c], "<u4") for c in ("places", "fan", "follow", "times"))
+        key, self.which = np.unique(np.repeat(place.astype(np.uint64), fan) << np.uint64(32) | follow, return_inverse=True)
+        self.w = (key >> np.uint64(32)).astype(np.int64)
+        self.n = np.bincount(self.which, weights=times, minlength=len(key))
+        known = np.flatnonzero(self.n)
+        self.all = np.bincount(self.w, weights=self.n, minlength=words)
+        self.distinct = np.bincount(self.w[known], minlength=words).astype(float)
+        order = known[np.lexsort((known, -self.n[known], self.w[known]))]
+        lead = np.flatnonzero(np.diff(self.w[order], prepend=-1))
+        self.top = np.full((2, words), -1)
+        for j in range(2):
+            at = lead[lead + j < len(order)]
+            at = at[self.w[order[at + j]] == self.w[order[at]]] + j
+            self.top[j, self.w[order[at]]] = order[at]
+
+    def decisions(self, own: int):
+        """For each rank of follower: pairs that come to it, whether they are
+        it, predictions and gate; ``own`` of each pair's occurrences left out."""
+        n = self.n
+        rest = self.all[self.w] - own
+        distinct = self.distinct[self.w] - own * (n == 1)
+        come = np.arange(len(n))
+        for j in range(2):
+            top = self.top[j, self.w[come]]
+            come, top = come[top >= 0], top[top >= 0]
+            hit = top == come
+            if own:                                          # known from elsewhere, and an occurrence to judge
+                ok = (n[come] > 0) & (~hit | (n[come] > 1))
+                come, top, hit = come[ok], top[ok], hit[ok]
+            has = n[top] - own * hit
+            r, d = np.maximum(rest[come], has), np.maximum(distinct[come], 1)
+            x = np.zeros((len(come), _WIDTH))
+            x[:, 0] = np.log((has + PRIOR) / (r - has + PRIOR))
+            x[:, 1] = np.log((np.maximum(r - d, 0) + PRIOR) / (d + PRIOR))
+            x[:, 2] = np.log((has + PRIOR) / (d + PRIOR))
+            x[:, -1] = 0.3
+            gate = np.searchsorted([1.5, 4, 16, 100], r) * 4 + np.searchsorted([1.5, 4, 16], has)
+            yield j, come, hit, x, _LETTER_GATES + j * _WORD_GATES + gate
+            rest[come] -= n[top]
+            distinct[come] -= 1
+            come = come[~hit]
+
+
 def _tables(tree):
     """Counts of zeros and ones per slot of each context, over a task's buckets."""
     def run(batches):
@@ -270,10 +352,11 @@ def _tables(tree):
         for b in batches:
             for row in b.to_pylist():
                 bucket, count = _open(row)
-                for word, _, bit, slots in _decisions(tree, bucket):
+                for word, _, bit, short, _, slots in _decisions(tree, bucket):
                     seen = count[word]
-                    for t, slot in zip(tables, slots):
-                        np.add.at(t, 2 * slot + bit, seen)
+                    for k, (t, slot) in enumerate(zip(tables, slots)):
+                        keep = short if k == 0 else slice(None)
+                        np.add.at(t, (2 * slot + bit)[keep], seen[keep])
         for k, t in enumerate(tables):
             for at in range(0, len(t), 1 << 17):
                 piece = t[at:at + (1 << 17)]
@@ -316,17 +399,19 @@ def _tree(rows: DataFrame, keys: list[str], add, tasks: int, fan: int = 64) -> D
     return rows
 
 
-def _logits(tables, bit, slots, own):
+def _logits(tables, prefixes, bit, short, key, slots, own):
     """Logit of each context's prediction (own occurrences taken out), a
     constant, and the gate."""
-    x = np.empty((len(bit), len(SLOTS) + 1))
+    x = np.empty((len(bit), _WIDTH))
     x[:, -1] = 0.3
     seen = []
     for k, (t, slot) in enumerate(zip(tables, slots)):
-        n0, n1 = t[2 * slot] - own * (1 - bit), t[2 * slot + 1] - own * bit
-        n0, n1 = np.maximum(n0, 0), np.maximum(n1, 0)
+        n0, n1 = t[2 * slot].astype(float), t[2 * slot + 1].astype(float)
+        if k == 0:
+            prefixes.add(n0, n1, short, key)
+        n0, n1 = np.maximum(n0 - own * (1 - bit), 0), np.maximum(n1 - own * bit, 0)
         x[:, k] = np.log((n1 + PRIOR) / (n0 + PRIOR))
-        if k < 2:
+        if k in (0, len(SLOTS) - 1):
             seen.append(n0 + n1)
     gate = np.searchsorted([0.5, 1.5, 4, 16, 200], seen[0]) * 4 + np.searchsorted([0.5, 10, 300], seen[1])
     return x, gate
@@ -345,58 +430,86 @@ def _learn(tree, model):
     each chunk, curvature added up; the map counts what the weights of the
     moment would have said."""
     def run(batches):
-        width = len(SLOTS) + 1
-        w = np.full((_GATES, width), 0.25)
-        curve = np.tile(np.eye(width) * 50.0, (_GATES, 1, 1))
+        w = np.full((_GATES, _WIDTH), 0.25)
+        curve = np.tile(np.eye(_WIDTH) * 50.0, (_GATES, 1, 1))
         mass = np.zeros(_GATES)
-        seen = np.zeros((2, 256 * _BINS))
+        seen = np.zeros((2, _NODES * _BINS))
+
+        def step(x, gate, node, bit, n):
+            z = np.einsum("ij,ij->i", x, w[gate])
+            p = _squash(z)
+            place = node * _BINS + _bin(z)
+            seen[0] += np.bincount(place, weights=n, minlength=_NODES * _BINS)
+            seen[1] += np.bincount(place, weights=n * bit, minlength=_NODES * _BINS)
+            for g in np.unique(gate):
+                at = np.flatnonzero(gate == g)
+                xs, ns = x[at], n[at]
+                curve[g] += (xs * (ns * p[at] * (1 - p[at]))[:, None]).T @ xs
+                w[g] += np.linalg.solve(curve[g], xs.T @ (ns * (bit[at] - p[at])))
+                mass[g] += ns.sum()
+
         for b in batches:
             for row in b.to_pylist():
                 bucket, count = _open(row)
-                for word, node, bit, slots in _decisions(tree, bucket):
+                prefixes = Prefixes(tree, bucket, count)
+                for word, node, bit, short, key, slots in _decisions(tree, bucket):
                     n = count[word]
                     keep = np.flatnonzero(n)
                     n, bit, node = n[keep], bit[keep], node[keep]
-                    x, gate = _logits(model.value, bit, [s[keep] for s in slots], 1)
-                    z = np.einsum("ij,ij->i", x, w[gate])
-                    p = _squash(z)
-                    place = node * _BINS + _bin(z)
-                    seen[0] += np.bincount(place, weights=n, minlength=256 * _BINS)
-                    seen[1] += np.bincount(place, weights=n * bit, minlength=256 * _BINS)
-                    for g in np.unique(gate):
-                        at = np.flatnonzero(gate == g)
-                        xs, ns = x[at], n[at]
-                        curve[g] += (xs * (ns * p[at] * (1 - p[at]))[:, None]).T @ xs
-                        w[g] += np.linalg.solve(curve[g], xs.T @ (ns * (bit[at] - p[at])))
-                        mass[g] += ns.sum()
+                    x, gate = _logits(model.value, prefixes, bit, short[keep], key[keep], [s[keep] for s in slots], 1)
+                    step(x, gate, node, bit, n)
+                followers = Followers(row, len(count))
+                for j, come, hit, x, gate in followers.decisions(1):
+                    for at in range(0, len(come), _SYMBOLS):
+                        part = slice(at, at + _SYMBOLS)
+                        step(x[part], gate[part], np.full(len(hit[part]), _NODES - 2 + j), hit[part].astype(float), followers.n[come[part]])
         sums = np.concatenate([(w * mass[:, None]).ravel(), mass, seen.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
                                           pa.array([sums.astype("<f8").tobytes()], pa.binary())], names=["part", "sums"])
     return run
 
 
+def _bits(x, gate, node, bit, weights, refine):
+    """Log-probability of each decision's outcome."""
+    z = np.einsum("ij,ij->i", x, weights[gate])
+    p = (_squash(z) + refine[node * _BINS + _bin(z)]) / 2
+    return np.log10(np.where(bit, p, 1 - p))
+
+
+def _scored(tree, tables, weights, refine, row):
+    """Of a bucket: training counts and spelling score of each word; of each
+    block's pair the follower decisions' score, positive and negated where the
+    token is a follower (and not spelled)."""
+    bucket, count = _open(row)
+    spelled = np.zeros(len(count))
+    prefixes = Prefixes(tree, bucket, count)
+    for word, node, bit, short, key, slots in _decisions(tree, bucket):
+        x, gate = _logits(tables, prefixes, bit, short, key, slots, 0)
+        spelled += np.bincount(word, weights=_bits(x, gate, node, bit, weights, refine), minlength=len(count))
+    followers = Followers(row, len(count))
+    pair, found = np.zeros(len(followers.n)), np.zeros(len(followers.n), bool)
+    for j, come, hit, x, gate in followers.decisions(0):
+        pair[come] += _bits(x, gate, _NODES - 2 + j, hit, weights, refine)
+        found[come[hit]] = True
+    return count, spelled, np.where(found, -pair, pair)[followers.which]
+
+
 def _answer(tree, model, weights, refine):
-    """Log-probability of every entry, dealt back to the blocks that hold it."""
+    """Log-probabilities dealt back to the blocks that hold the words and pairs."""
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
-                bucket, count = _open(row)
-                score = np.zeros(len(count))
-                for word, node, bit, slots in _decisions(tree, bucket):
-                    x, gate = _logits(model.value, bit, slots, 0)
-                    z = np.einsum("ij,ij->i", x, weights[gate])
-                    p = (_squash(z) + refine[node * _BINS + _bin(z)]) / 2
-                    score += np.bincount(word, weights=np.log10(np.where(bit, p, 1 - p)), minlength=len(score))
-                word, at = np.unique(bucket[0] & ~_TAG, return_inverse=True)
-                seen = np.bincount(at, weights=count, minlength=len(word))[at].astype("<u8")
+                count, spelled, pair = _scored(tree, model.value, weights, refine, row)
                 place = np.frombuffer(row["places"], "<u4")
                 edge = np.concatenate([[0], np.cumsum(row["sizes"])])
-                for block, x, y in zip(row["blocks"], edge[:-1], edge[1:]):
+                pairs = np.concatenate([[0], np.cumsum(np.frombuffer(row["fan"], "<u4"), dtype=np.int64)])[edge]
+                for block, x, y, p, q in zip(row["blocks"], edge[:-1], edge[1:], pairs[:-1], pairs[1:]):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block], pa.int64()), pa.array([row["bucket"]], pa.int32()),
-                         pa.array([seen[place[x:y]].tobytes()], pa.binary()),
-                         pa.array([score[place[x:y]].astype("<f4").tobytes()], pa.binary())],
-                        names=["block", "bucket", "seen", "score"])
+                         pa.array([count[place[x:y]].astype("<u4").tobytes()], pa.binary()),
+                         pa.array([spelled[place[x:y]].astype("<f4").tobytes()], pa.binary()),
+                         pa.array([pair[p:q].astype("<f4").tobytes()], pa.binary())],
+                        names=["block", "bucket", "seen", "score", "pairs"])
     return run
 
 
@@ -404,22 +517,23 @@ _RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_to
            "score double")
 
 
-def _sum_up(tokens: int, vocabulary: int, prior: np.ndarray):
+def _sum_up(tokens: int, vocabulary: int):
     """A block's documents from its payload and the buckets' answers in order."""
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("bucket")
         load = rows.slice(0, 1).to_pylist()[0]                  # bucket -1: the block itself
-        seen = np.concatenate([np.frombuffer(x, "<u8") for x in rows["seen"].to_pylist()[1:]])
-        score = np.concatenate([np.frombuffer(x, "<f4") for x in rows["score"].to_pylist()[1:]]).astype(np.float64)
+        seen, score, pairs = (np.concatenate([np.frombuffer(x, t) for x in rows[c].to_pylist()[1:]]).astype(np.float64)
+                              for c, t in (("seen", "<u4"), ("score", "<f4"), ("pairs", "<f4")))
         base = np.log10((seen + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
         ids = np.stack([np.frombuffer(load["low"], "<u2"), np.frombuffer(load["high"], "<u2")], axis=1).copy().view("<u4").ravel()
         many = np.array(load["tokens"], dtype=np.int64)
         at = np.concatenate([[0], np.cumsum(many)])[:-1]        # every document has its end
+        cost = pairs[_pairs(ids, len(seen), int(ids[-1]))[1]]   # the last token is an end
         return pa.table({
             "doc_id": pa.array(load["doc_id"], pa.int64()), "held_out": pa.array(load["held_out"], pa.bool_()),
             "n_tokens": many, "n_known": np.add.reduceat((seen > 0)[ids].astype(np.int64), at),
             "train_tokens": np.full(len(many), tokens, np.int64), "base_score": np.add.reduceat(base[ids], at),
-            "score": np.add.reduceat(score[ids], at) + prior[load["class"]]})
+            "score": np.add.reduceat(np.where(cost > 0, -cost, cost + score[ids]), at)})
     return run
 
 
@@ -429,18 +543,13 @@ def score(docs: DataFrame, held) -> DataFrame:
     blocks = pin(docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(_blocks, _BLOCK_FIELDS))
     entries = blocks.agg(F.coalesce(F.sum(F.octet_length("code")), F.lit(0))).first()[0] // 8
     buckets = max(1, -(-entries // BUCKET))
-    dealt = blocks.select("block", "code", "count", "length", "words").mapInArrow(
-        _deal(buckets), "bucket int, block long, code binary, count binary, length binary, words binary")
+    piece = ", ".join(f"{c} binary" for c in _PIECE)
+    dealt = blocks.select("block", *_PIECE).mapInArrow(_deal(buckets), f"bucket int, block long, {piece}")
     lexicon = pin(dealt.groupBy("bucket").applyInArrow(_bucket, _BUCKET_FIELDS))
-    load = pin(blocks.select("block", "doc_id", "held_out", "class", "tokens", "low", "high"))
+    load = pin(blocks.select("block", "doc_id", "held_out", "tokens", "low", "high"))
     unpin(blocks)                                # the dictionaries live on in the lexicon
     vocabulary, tokens = lexicon.agg(F.coalesce(F.sum("words_seen"), F.lit(0)),
                                      F.coalesce(F.sum("tokens_seen"), F.lit(0))).first()
-    classes = {r["class"]: r["count"] for r in load.select(F.explode(F.arrays_zip("class", "held_out")).alias("d"))
-               .select("d.*").where("not held_out").groupBy("class").count().collect()}
-    share = np.array([classes.get(k, 0) + 1.0 for k in range(CLASSES)])
-    prior = np.log10(share / share.sum())
-
     spelled = lexicon.select("code", "count", "length", "words")
 
     def bytes_(batches):
@@ -449,7 +558,7 @@ def score(docs: DataFrame, held) -> DataFrame:
             for row in b.to_pylist():
                 (code, length, words), count = _open(row)
                 total += np.bincount(words, weights=np.repeat(count, length), minlength=256)
-                total[0x20] += count[(code & ~_TAG) != END].sum()
+                total[0x20] += count[code != END].sum()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
 
     frequency = np.zeros(256)
@@ -465,17 +574,21 @@ def score(docs: DataFrame, held) -> DataFrame:
         tables[r.context][r["at"]:r["at"] + len(piece)] += piece
     model = spark.sparkContext.broadcast(tables)          # of fixed size
 
+    fitted = lexicon.select("code", "count", "length", "words", "places", "fan", "follow", "times")
     with tidy(spark):
-        fits = _tree(spelled.mapInArrow(_learn(tree, model), "part long, sums binary"), [], _add_sums, buckets).collect()
-    width = len(SLOTS) + 1
-    sums = sum((np.frombuffer(r.sums, "<f8") for r in fits), np.zeros(_GATES * (width + 1) + 2 * 256 * _BINS))
-    mass = sums[_GATES * width:_GATES * (width + 1)] + 1e-9
-    weights = (sums[:_GATES * width].reshape(_GATES, width) + 0.25e-9) / mass[:, None]
-    seen = sums[_GATES * (width + 1):].reshape(2, -1)
-    middle = np.tile(_squash((np.arange(_BINS) + 0.5) / _BINS * 18 - 9), 256)
-    refine = np.clip((seen[1] + 20 * middle) / (seen[0] + 20), 1e-8, 1 - 1e-8)
-
-    answers = lexicon.select("bucket", "code", "count", "length", "words", "blocks", "sizes", "places").mapInArrow(
-        _answer(tree, model, weights, refine), "block long, bucket int, seen binary, score binary")
+        fits = _tree(fitted.mapInArrow(_learn(tree, model), "part long, sums binary"), [], _add_sums, buckets).collect()
+    weights, refine = _model(sum((np.frombuffer(r.sums, "<f8") for r in fits), np.zeros(_GATES * (_WIDTH + 1) + 2 * _NODES * _BINS)))
+
+    answers = lexicon.select("bucket", "code", "count", "length", "words", "blocks", "sizes", "places", "fan", "follow", "times").mapInArrow(
+        _answer(tree, model, weights, refine), "block long, bucket int, seen binary, score binary, pairs binary")
     return load.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True).groupBy("block").applyInArrow(
-        _sum_up(int(tokens), int(vocabulary), prior), _RESULT)
+        _sum_up(int(tokens), int(vocabulary)), _RESULT)
+
+
+def _model(sums: np.ndarray):
+    """Weights of each gate and the map, from the tasks' sums."""
+    mass = sums[_GATES * _WIDTH:_GATES * (_WIDTH + 1)] + 1e-9
+    weights = (sums[:_GATES * _WIDTH].reshape(_GATES, _WIDTH) + 0.25e-9) / mass[:, None]
+    seen = sums[_GATES * (_WIDTH + 1):].reshape(2, -1)
+    middle = np.tile(_squash((np.arange(_BINS) + 0.5) / _BINS * 18 - 9), _NODES)
+    return weights, np.clip((seen[1] + 20 * middle) / (seen[0] + 20), 1e-8, 1 - 1e-8)
