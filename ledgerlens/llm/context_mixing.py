@@ -15,8 +15,10 @@ contexts have seen); the mixed probability is refined by an adaptive map.
 What a word is spelled for depends on the word alone and what a follower costs
 on the pair alone, so each distinct word and pair of the corpus is scored once:
 
-1. documents become blocks: token ids into the block's own sorted dictionary,
-   and for every word of it the followers it has there;
+1. documents become blocks: token ids into the block's own sorted dictionary
+   (written), and for every word of it the followers it has there (dealt; the
+   texts are scanned twice, which must give the same rows in the same order, as
+   tables do);
 2. dictionaries are dealt by word code into buckets and merged: training counts
    of every word and pair of the corpus, and each block's places.  A code begins
    with the hash of the word's first ``HEAD`` bytes, so words that share them
@@ -55,10 +57,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .store import pin, tidy, unpin
+from .store import pin, tidy
 
 BLOCK = 8 << 20
-BUCKET = 200_000
+BUCKET = 100_000
 HEAD = 3                                    # bytes that words of one bucket share; one more for every thirtyfold beyond 50 GB
 ORDERS = (1, 2, 3, 4)                       # bytes of the letter contexts
 SLOTS = (18, 16, 18, 19, 20)                # table sizes: word so far below HEAD, then ORDERS
@@ -72,6 +74,7 @@ _LETTER_GATES = 24
 _WORD_GATES = 20
 _GATES = _LETTER_GATES + 2 * _WORD_GATES
 _BINS = 24
+_SURE = 1e-6                                # a follower costs at least this: 16-bit floats keep it from zero
 _NODES = 258                                # of the code tree, then the first and the second follower
 
 
@@ -125,12 +128,10 @@ def _pairs(ids: np.ndarray, entries: int, end: int):
     return np.unique(before.astype(np.int64) * entries + ids, return_inverse=True)
 
 
-_BLOCK_FIELDS = ("block long, doc_id array<long>, held_out array<boolean>, tokens array<long>, low binary, high binary, code binary, "
-                 "count binary, length binary, words binary, fan binary, follow binary, times binary")
-_PIECE = ("code", "count", "length", "words", "fan", "follow", "times")
-
-
 def _blocks(batches):
+    """Blocks of the scanned texts: number, rows (without text), tokens per row,
+    token ids, and the dictionary (code, count, length, words).  Which rows make
+    a block depends on the scan alone, so two scans give the same blocks."""
     number, held, size = 0, [], 0
 
     def close():
@@ -138,24 +139,10 @@ def _blocks(batches):
         entry, count, length, words, place = _merge(*[[x[k] for _, x in held] for k in (2, 3, 4, 5)])
         shift = np.cumsum([0] + [len(x[2]) for _, x in held])
         ids = place[np.concatenate([x[1] + o for (_, x), o in zip(held, shift)])].astype("<u4")
-        docs = pa.chunked_array([p.column("doc_id").cast(pa.int64()) for p, _ in held]).combine_chunks()
-        out = pa.chunked_array([p.column("held_out") for p, _ in held]).combine_chunks()
-        many = np.concatenate([x[0] for _, x in held])
-        pair, which = _pairs(ids, len(entry), int(np.searchsorted(entry, END)))
-        train = np.repeat(~out.to_numpy(zero_copy_only=False), many)
-        times = np.bincount(which, weights=train, minlength=len(pair))
-        fan = np.bincount(pair // len(entry), minlength=len(entry))
         block = (TaskContext.get().partitionId() << 24) + number
         number += 1
-        ids = ids.view("<u2").reshape(-1, 2)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([block]), pa.array([docs.to_pylist()], pa.list_(pa.int64())),
-             pa.array([out.to_pylist()], pa.list_(pa.bool_())), pa.array([many], pa.list_(pa.int64())),
-             *(pa.array([b], pa.binary()) for b in (
-                 ids[:, 0].tobytes(), ids[:, 1].astype("<u2").tobytes(), entry.astype("<u8").tobytes(),
-                 count.astype("<u4").tobytes(), length.astype("<u4").tobytes(), words.tobytes(), fan.astype("<u4").tobytes(),
-                 _follower(entry)[pair % len(entry)].tobytes(), times.astype("<u4").tobytes()))],
-            names=[f.split()[0] for f in _BLOCK_FIELDS.split(", ")])
+        rows = [pa.chunked_array([p.column(c) for p, _ in held]).combine_chunks() for c in ("doc_id", "held_out")]
+        return block, rows, np.concatenate([x[0] for _, x in held]), ids, (entry, count, length, words)
 
     for part in W.slices(batches, "text"):
         for at in range(0, part.num_rows, _ROWS):
@@ -170,31 +157,53 @@ def _blocks(batches):
         yield close()
 
 
-_BUCKET_FIELDS = ("bucket int, code binary, count binary, length binary, words binary, blocks array<long>, sizes array<long>, "
-                  "places binary, fan binary, follow binary, times binary, words_seen long, tokens_seen long")
+_LOAD = "block long, entries long, doc_id array<long>, held_out array<boolean>, tokens array<long>, low binary, high binary"
+
+
+def _load(batches):
+    """What a block keeps until its answers come: its rows and token ids."""
+    for block, (docs, out), many, ids, (entry, *_) in _blocks(batches):
+        ids = ids.view("<u2").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.array([len(entry)]), pa.array([docs.cast(pa.int64()).to_pylist()], pa.list_(pa.int64())),
+             pa.array([out.to_pylist()], pa.list_(pa.bool_())), pa.array([many], pa.list_(pa.int64())),
+             pa.array([ids[:, 0].tobytes()], pa.binary()), pa.array([ids[:, 1].astype("<u2").tobytes()], pa.binary())],
+            names=[f.split()[0] for f in _LOAD.split(", ")])
+
+
+_PIECE = ("code", "count", "length", "words", "fan", "follow", "times")
 
 
 def _deal(buckets: int):
-    """Entries of each block's dictionary by bucket: equal ranges of the heads."""
+    """Entries of each block's dictionary, with their followers, by bucket:
+    equal ranges of the heads."""
     edges = np.array([((i << 24) // buckets) << 40 for i in range(1, buckets)], dtype=np.uint64)
 
     def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                block, *piece = (b.column(c)[r].as_py() for c in ("block", *_PIECE))
-                code, count, length, words, fan, follow, times = piece
-                code, length, fan = np.frombuffer(code, "<u8"), np.frombuffer(length, "<u4"), np.frombuffer(fan, "<u4")
-                cut = np.concatenate([[0], np.searchsorted(code, edges), [len(code)]])
-                at, pair = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (length, fan))
-                rows = [(int(k), block, code[x:y].tobytes(), count[4 * x:4 * y], length[x:y].tobytes(), words[at[x]:at[y]],
-                         fan[x:y].tobytes(), follow[4 * pair[x]:4 * pair[y]], times[4 * pair[x]:4 * pair[y]])
-                        for k, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+        for block, (_, out), many, ids, (code, count, length, words) in _blocks(batches):
+            pair, which = _pairs(ids, len(code), int(np.searchsorted(code, END)))
+            train = np.repeat(~out.to_numpy(zero_copy_only=False), many)
+            times = np.bincount(which, weights=train, minlength=len(pair)).astype("<u4")
+            fan = np.bincount(pair // len(code), minlength=len(code))
+            follow = _follower(code)[pair % len(code)]
+            del pair, which, train
+            cut = np.unique(np.concatenate([[0], np.searchsorted(code, edges), [len(code)]]))
+            bucket = np.searchsorted(edges, code[cut[:-1]], side="right")
+            at, link = (np.concatenate([[0], np.cumsum(x)]) for x in (length, fan))
+            rows = [(int(k), block, code[x:y].astype("<u8").tobytes(), count[x:y].astype("<u4").tobytes(), length[x:y].astype("<u4").tobytes(),
+                     words[at[x]:at[y]].tobytes(), fan[x:y].astype("<u4").tobytes(), follow[link[x]:link[y]].tobytes(),
+                     times[link[x]:link[y]].tobytes()) for k, x, y in zip(bucket, cut[:-1], cut[1:])]
+            for some in range(0, len(rows), 32):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), *[pa.binary()] * len(_PIECE)))],
+                    [pa.array(c, t) for c, t in zip(zip(*rows[some:some + 32]), (pa.int32(), pa.int64(), *[pa.binary()] * len(_PIECE)))],
                     names=["bucket", "block", *_PIECE])
     return run
 
 
+_BUCKET_FIELDS = ("bucket int, code binary, count binary, length binary, words binary, blocks array<long>, sizes array<long>, "
+                  "places binary, fan binary, follow binary, times binary, words_seen long, tokens_seen long")
+
+
 def _bucket(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("block")
     code, count, length, words = ([np.frombuffer(x, t) for x in rows[c].to_pylist()] for c, t in (
@@ -491,7 +500,7 @@ def _scored(tree, tables, weights, refine, row):
     for j, come, hit, x, gate in followers.decisions(0):
         pair[come] += _bits(x, gate, _NODES - 2 + j, hit, weights, refine)
         found[come[hit]] = True
-    return count, spelled, np.where(found, -pair, pair)[followers.which]
+    return count, spelled, np.where(found, np.maximum(-pair, _SURE), pair)[followers.which]
 
 
 def _answer(tree, model, weights, refine):
@@ -508,7 +517,7 @@ def _answer(tree, model, weights, refine):
                         [pa.array([block], pa.int64()), pa.array([row["bucket"]], pa.int32()),
                          pa.array([count[place[x:y]].astype("<u4").tobytes()], pa.binary()),
                          pa.array([spelled[place[x:y]].astype("<f4").tobytes()], pa.binary()),
-                         pa.array([pair[p:q].astype("<f4").tobytes()], pa.binary())],
+                         pa.array([pair[p:q].astype("<f2").tobytes()], pa.binary())],
                         names=["block", "bucket", "seen", "score", "pairs"])
     return run
 
@@ -523,7 +532,9 @@ def _sum_up(tokens: int, vocabulary: int):
         rows = rows.sort_by("bucket")
         load = rows.slice(0, 1).to_pylist()[0]                  # bucket -1: the block itself
         seen, score, pairs = (np.concatenate([np.frombuffer(x, t) for x in rows[c].to_pylist()[1:]]).astype(np.float64)
-                              for c, t in (("seen", "<u4"), ("score", "<f4"), ("pairs", "<f4")))
+                              for c, t in (("seen", "<u4"), ("score", "<f4"), ("pairs", "<f2")))
+        if len(seen) != load["entries"]:
+            raise ValueError("two scans of the documents gave different blocks: write them to a table first")
         base = np.log10((seen + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
         ids = np.stack([np.frombuffer(load["low"], "<u2"), np.frombuffer(load["high"], "<u2")], axis=1).copy().view("<u4").ravel()
         many = np.array(load["tokens"], dtype=np.int64)
@@ -540,14 +551,12 @@ def _sum_up(tokens: int, vocabulary: int):
 def score(docs: DataFrame, held) -> DataFrame:
     """Learn from the rows outside ``held`` (a boolean column), score all."""
     spark = docs.sparkSession
-    blocks = pin(docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(_blocks, _BLOCK_FIELDS))
-    entries = blocks.agg(F.coalesce(F.sum(F.octet_length("code")), F.lit(0))).first()[0] // 8
-    buckets = max(1, -(-entries // BUCKET))
-    piece = ", ".join(f"{c} binary" for c in _PIECE)
-    dealt = blocks.select("block", *_PIECE).mapInArrow(_deal(buckets), f"bucket int, block long, {piece}")
+    rows = docs.select("doc_id", held.alias("held_out"), "text")
+    load = pin(rows.mapInArrow(_load, _LOAD))
+    buckets = max(1, -(-load.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0] // BUCKET))
+    pieces = ", ".join(f"{c} binary" for c in _PIECE)
+    dealt = rows.mapInArrow(_deal(buckets), f"bucket int, block long, {pieces}")       # scanned again: cheaper than written
     lexicon = pin(dealt.groupBy("bucket").applyInArrow(_bucket, _BUCKET_FIELDS))
-    load = pin(blocks.select("block", "doc_id", "held_out", "tokens", "low", "high"))
-    unpin(blocks)                                # the dictionaries live on in the lexicon
     vocabulary, tokens = lexicon.agg(F.coalesce(F.sum("words_seen"), F.lit(0)),
                                      F.coalesce(F.sum("tokens_seen"), F.lit(0))).first()
     spelled = lexicon.select("code", "count", "length", "words")
