@@ -152,7 +152,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     of consecutive full windows."""
     keyed = _keyed(docs).withColumn("row", F.xxhash64("key", "hash"))
     short = pin(keyed.select("row", "text").mapInArrow(_level_first, "h long, row long, place int"))
-    places = pin(_repeated(short).groupBy("row").agg(F.collect_list("place").alias("places")))
+    places = pin(_repeated(short).groupBy("row").agg(F.collect_set("place").alias("places")))
     unpin(short)
     double = pin(keyed.join(places, "row").select("key", "hash", "text", "places").mapInArrow(
         _level_second, "h long, key long, hash long, start int, windows array<long>, again array<boolean>"))
