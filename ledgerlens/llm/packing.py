@@ -190,8 +190,8 @@ def packed(docs: DataFrame, tokenizer: str | None = None, shard_rows: int = SHAR
     spells the added token in a text as ordinary pieces, false (there the
     default, and what the queries use) gives it its id."""
     shards = max(1, -(-docs.count() // shard_rows))
-    # text is part of the hash: rows that repeat an id still spread
-    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard")
+    # the row's place in its scan is part of the hash: rows that repeat an id and text still spread
+    shard = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard")
     return (docs.select("doc_id", shard, "text")
             .mapInArrow(_tokens(tokenizer, encode_special_tokens), "doc_id long, shard int, doc_tokens long, crcs array<long>, rest binary, "
                                             "wide boolean")
