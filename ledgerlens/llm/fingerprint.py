@@ -9,7 +9,8 @@ A fingerprint is read off that array: the length, the hash of the whole text,
 the hashes of prefixes at growing lengths, and the smallest hashes of all
 16-character spans.  Likeness of two fingerprints is the larger of the shared
 prefix's share (binary search over the prefix hashes) and the resemblance of
-the span samples.
+the span samples.  Beside it stand the lengths of the longest common
+extensions from the texts' starts (``common_*``), searched in the arrays.
 
 Cases: null text counts as empty; two empty texts are alike (1), an empty and
 another are not (0); null doc_ids come first in the order, equal doc_ids are
@@ -24,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -37,6 +38,7 @@ GRID = [1, 2, 3, 4, 6, 8, 11]               # prefix lengths with a hash, then g
 while GRID[-1] < 1 << 40:
     GRID.append(GRID[-2] * 2)
 
+BLOCKS = 1 << 18    # so many block openings (a few numbers each) are broadcast; more are joined
 _P, _BITS = np.uint64(PRIME), np.uint64(31)
 
 
@@ -99,14 +101,23 @@ class PrefixHash:
             lo, hi = (mid, hi) if self.equal(start, other, at, mid) else (lo, mid - 1)
         return lo
 
+    def extensions(self, start: np.ndarray, other: "PrefixHash", at: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """``common`` for arrays of places, each up to ``most`` characters."""
+        lo, hi = np.zeros(len(most), np.int64), most.astype(np.int64)
+        while (lo < hi).any():
+            mid = (lo + hi + 1) // 2
+            same = self.span(start, start + mid) == other.span(at, at + mid)
+            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
+        return lo
+
 
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
 
-def sketches(chars: np.ndarray, offs: np.ndarray) -> list["Sketch"]:
-    """Fingerprints of texts laid end to end."""
-    ph = PrefixHash(chars)
+def sketches(chars: np.ndarray, offs: np.ndarray, ph: PrefixHash | None = None) -> list["Sketch"]:
+    """Fingerprints of texts laid end to end (``ph``: their prefix arrays, where made)."""
+    ph = ph or PrefixHash(chars)
     start, size = offs[:-1], np.diff(offs)
     full = W.mix(ph.span(start, offs[1:])).tolist()
     # hashes of prefixes
@@ -180,7 +191,7 @@ def likeness(a: Sketch, b: Sketch) -> float:
 
 
 _SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double")
+           "near_edited double, near_next double, common_edited long, common_next long")
 
 
 def _scan(batches):
@@ -199,7 +210,8 @@ def _scan(batches):
         before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])       # characters before each byte
         offs = before[at]
         chars = points(data.tobytes().decode())
-        mine = sketches(chars, offs)
+        ph = PrefixHash(chars)
+        mine = sketches(chars, offs, ph)
         size = np.diff(offs)
         half = size[ready] // 2
         taken = np.minimum(half, size[ready + 1])
@@ -210,14 +222,17 @@ def _scan(batches):
             continue
         edited = np.concatenate(pieces)
         ends = np.concatenate([[0], np.cumsum(size[ready] - half + taken)])
-        theirs = sketches(edited, ends)
+        edited_ph = PrefixHash(edited)
+        theirs = sketches(edited, ends, edited_ph)
         sha = [hashlib.sha256(edited[a:b].tobytes().decode("utf-32-le").encode()).hexdigest()
                for a, b in zip(ends[:-1], ends[1:])]
         yield pa.RecordBatch.from_arrays(
             [part.column("doc_id").take(pa.array(ready)), pa.array(size[ready], pa.int64()), pa.array(sha),
              pa.array([str(mine[i]) for i in ready]), pa.array([str(x) for x in theirs]),
              pa.array([likeness(mine[i], x) for i, x in zip(ready, theirs)], pa.float64()),
-             pa.array([likeness(mine[i], mine[i + 1]) for i in ready], pa.float64())],
+             pa.array([likeness(mine[i], mine[i + 1]) for i in ready], pa.float64()),
+             pa.array(ph.extensions(offs[ready], edited_ph, ends[:-1], np.minimum(size[ready], np.diff(ends)))),
+             pa.array(ph.extensions(offs[ready], ph, offs[ready + 1], np.minimum(size[ready], size[ready + 1])))],
             names=[f.split()[0] for f in _SCHEMA.split(", ")])
 
 
@@ -249,14 +264,14 @@ def fingerprints(docs: DataFrame, rows_per_block: int = 1024) -> DataFrame:
     block = (index * sub + F.greatest(F.lit(0), F.least(F.lit(sub - 1), step))).cast("int")
     rows = rows.withColumn("block", block)
     # one row per block: its smallest key, and the block before it in the circle
-    firsts = sorted((r.block, r.key) for r in rows.groupBy("block").agg(F.min("key").alias("key")).collect())
-    spots = [(firsts[i][0], firsts[i][1], firsts[i - 1][0]) for i in range(len(firsts))]
-    opening = spark.createDataFrame(spots, "block int, key long, previous int")
-    tie = rows.join(F.broadcast(opening), ["block", "key"]).groupBy("block", "key", "previous").agg(
+    circle = Window.orderBy("block")
+    opening = rows.groupBy("block").agg(F.min("key").alias("key")).select(
+        "block", "key", F.coalesce(F.lag("block").over(circle), F.max("block").over(Window.partitionBy())).alias("previous"))
+    sized = F.broadcast if blocks <= BLOCKS else (lambda df: df)      # a row of a few numbers per block
+    tie = rows.join(sized(opening), ["block", "key"]).groupBy("block", "key", "previous").agg(
         F.min(F.xxhash64("text")).alias("first_hash"))       # equal ids: the one that comes first
-    opening = F.broadcast(tie)                               # one row per block
     marked = rows.withColumn("hash", F.xxhash64("text")).join(
-        opening.select("block", "key", "previous", "first_hash"), ["block", "key"], "left")
+        sized(tie).select("block", "key", "previous", "first_hash"), ["block", "key"], "left")
     first = F.col("previous").isNotNull() & (F.col("hash") == F.col("first_hash"))
     spread = marked.select(
         "doc_id", "key", "hash", "text",
