@@ -3,12 +3,14 @@
 Every text gets a few dozen shape features in one vectorised pass.  Labelled
 texts give preference pairs (a good one over a poor one); the weights minimise
 the logistic loss on feature differences, so a score difference is the
-log-odds of being preferred.  The cut is a quantile of the scores: the share
-of poor texts among the labelled ones.
+log-odds of being preferred.  The cut is a quantile of the scores of all
+labelled texts: the share of poor ones among them.
 
-Bounds: the weights are fitted on at most ``SAMPLE`` labelled rows (those with
-the smallest hashed ids, a fixed share of all) and ``PAIRS`` drawn pairs; statistics of features and
-the scoring cover all rows.
+Bounds: only the weights are fitted on a sample, of at most ``SAMPLE`` labelled
+rows (those with the smallest hashed ids, a fixed share of all) and ``PAIRS``
+drawn pairs.  Mean and spread of the features are those of all rows, share and
+quantile those of all labelled rows (by Spark; the quantile to one part in
+``_EXACT`` of the ranks).
 
 Cases: null text counts as empty and is scored like any other; a document
 with several labels has the highest; without both labels every score is the
@@ -29,6 +31,7 @@ from .store import pin, sampled
 SAMPLE = 20_000
 PAIRS = 200_000
 CUT = 0.3           # the score at which the quantile lies
+_EXACT = 100_000
 _RIDGE = 1.0
 _ROWS = 4096        # texts worked on at once (12 bits of the distinct-word key)
 
@@ -115,20 +118,6 @@ def fit_pairs(good: np.ndarray, poor: np.ndarray, seed: int = 7) -> np.ndarray:
     return w
 
 
-def fit(f: np.ndarray, y: np.ndarray):
-    """(mean, scale, weights, cut, spread), or the share of good texts alone
-    where the labels do not give both sides."""
-    if len(y) == 0:
-        return 0.5
-    if y.min() == y.max():
-        return float(y.mean())
-    mean, scale = f.mean(axis=0), np.maximum(f.std(axis=0), 1e-6)
-    x = _expand(f, mean, scale)
-    w = fit_pairs(x[y == 1], x[y == 0])
-    s = x @ w
-    return mean, scale, w, float(np.quantile(s, 1 - y.mean())), max(float(s.std()) / 4, 1e-6)
-
-
 def rate(f: np.ndarray, model) -> np.ndarray:
     if isinstance(model, float):
         return np.full(len(f), model)
@@ -137,6 +126,40 @@ def rate(f: np.ndarray, model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _features(column) -> np.ndarray:
+    return np.array(column.flatten()).reshape(len(column), len(FEATURES))
+
+
+def _moments(batches):
+    """Per task and feature: rows, sum, sum of squares."""
+    n, total, square = 0, np.zeros(len(FEATURES)), np.zeros(len(FEATURES))
+    for b in batches:
+        f = _features(b.column("f"))
+        n, total, square = n + len(f), total + f.sum(axis=0), square + (f * f).sum(axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(range(len(FEATURES)), pa.int32()), pa.array([n] * len(FEATURES), pa.int64()),
+                                      pa.array(total), pa.array(square)], names=["i", "n", "total", "square"])
+
+
+def _fitted(measured: DataFrame, known: DataFrame, sample, share: float):
+    """(mean, scale, weights, cut, spread)."""
+    sums = (measured.select("f").mapInArrow(_moments, "i int, n long, total double, square double").groupBy("i")
+            .agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("square").alias("square")).orderBy("i").collect())
+    mean = np.array([r.total / r.n for r in sums])
+    scale = np.sqrt(np.maximum([r.square / r.n for r in sums] - mean ** 2, 1e-12))
+    y = np.array([r.quality for r in sample])
+    x = _expand(np.array([r.f for r in sample]), mean, scale)
+    w = fit_pairs(x[y == 1], x[y == 0])
+
+    def raw(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_expand(_features(b.column("f")), mean, scale) @ w)], names=["s"])
+
+    judged = measured.join(known.select(F.col("doc_id").alias("id")), F.col("doc_id") == F.col("id"), "left_semi").select("f")
+    cut, spread = judged.mapInArrow(raw, "s double").agg(
+        F.percentile_approx("s", 1 - share, _EXACT), F.stddev_pop("s")).first()
+    return mean, scale, w, cut, max(spread / 4, 1e-6)
+
+
 def score(docs: DataFrame, labels: DataFrame, held) -> DataFrame:
     """Learn from labelled rows outside ``held``; score and judge all rows."""
     measured = pin(docs.select("doc_id", held.alias("held_out"), "text")
@@ -147,13 +170,14 @@ def score(docs: DataFrame, labels: DataFrame, held) -> DataFrame:
     rows = (measured.join(sampled(known, "doc_id", SAMPLE), "doc_id").groupBy("doc_id", "quality")
             .agg(F.min_by("f", F.xxhash64("f")).alias("f")).collect())       # one row of a repeated id
     rows.sort()
-    f = np.array([r.f for r in rows]).reshape(len(rows), len(FEATURES))
-    model = fit(f, np.array([r.quality for r in rows], dtype=int))
+    share = known.agg(F.avg(F.col("quality").cast("double"))).first()[0]
+    model = 0.5 if share is None else float(share)
+    if 0 < model < 1 and len({r.quality for r in rows}) == 2:
+        model = _fitted(measured, known, rows, model)
 
     def run(batches):
         for b in batches:
-            x = np.array(b.column("f").flatten()).reshape(b.num_rows, len(FEATURES))
-            s = rate(x, model)
+            s = rate(_features(b.column("f")), model)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("held_out"), pa.array(s),
                  pa.array((s >= CUT).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
