@@ -49,6 +49,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -57,10 +58,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .store import pin, tidy
+from .store import few_rows, pin, tidy, unpin
 
 BLOCK = 8 << 20
-BUCKET = 100_000
+BUCKET = 50_000
 HEAD = 3                                    # bytes that words of one bucket share; one more for every thirtyfold beyond 50 GB
 ORDERS = (1, 2, 3, 4)                       # bytes of the letter contexts
 SLOTS = (18, 16, 18, 19, 20)                # table sizes: word so far below HEAD, then ORDERS
@@ -278,19 +279,19 @@ def _decisions(tree, bucket):
         node = nodes[step]
         salt = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         keys = [(c[rep] ^ salt) * np.uint64(0xD6E8FEB86659FD93) for c in contexts]
-        slots = [(k >> np.uint64(64 - size)).astype(np.int64) for k, size in zip(keys, SLOTS)]
-        yield a + own[rep], node, bits[step], (pos < HEAD)[rep], keys[0], slots
+        slots = [(k >> np.uint64(64 - size)).astype(np.int32) for k, size in zip(keys, SLOTS)]
+        yield (a + own[rep]).astype(np.int32), node, bits[step], (pos < HEAD)[rep], keys[0], slots
 
 
 class Prefixes:
     """Exact counts of the bucket's contexts "word so far" from ``HEAD`` on."""
 
-    def __init__(self, tree, bucket, count):
-        parts = [(key[~short], np.stack([(1 - bit) * count[word], bit * count[word]])[:, ~short])
-                 for word, _, bit, short, key, _ in _decisions(tree, bucket)]
-        self.keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        seen = np.concatenate([n for _, n in parts], axis=1)
-        self.counts = [np.bincount(at, weights=n, minlength=len(self.keys)) for n in seen]
+    def __init__(self, decisions, count):
+        long = [(key[~short], bit[~short], word[~short]) for word, _, bit, short, key, _ in decisions]
+        key, bit, word = (np.concatenate(x) for x in zip(*long))
+        self.keys, at = np.unique(key, return_inverse=True)
+        both = np.bincount(2 * at + bit, weights=count[word], minlength=2 * len(self.keys))
+        self.counts = both[::2], both[1::2]
 
     def add(self, n0, n1, short, key):
         """Counts of the short contexts, replaced where the word so far is long."""
@@ -299,6 +300,13 @@ class Prefixes:
         n0[long], n1[long] = self.counts[0][at], self.counts[1][at]
 
 
+def _rows(batches):
+    """Rows as dictionaries, one at a time: they are large."""
+    for b in batches:
+        for r in range(b.num_rows):
+            yield {name: b.column(k)[r].as_py() for k, name in enumerate(b.schema.names)}
+
+
 def _open(row):
     code, count, length, words = (np.frombuffer(row[c], t) for c, t in (
         ("code", "<u8"), ("count", "<u8"), ("length", "<u4"), ("words", "u1")))
@@ -358,14 +366,13 @@ def _tables(tree):
     """Counts of zeros and ones per slot of each context, over a task's buckets."""
     def run(batches):
         tables = [np.zeros(2 << size) for size in SLOTS]
-        for b in batches:
-            for row in b.to_pylist():
-                bucket, count = _open(row)
-                for word, _, bit, short, _, slots in _decisions(tree, bucket):
-                    seen = count[word]
-                    for k, (t, slot) in enumerate(zip(tables, slots)):
-                        keep = short if k == 0 else slice(None)
-                        np.add.at(t, (2 * slot + bit)[keep], seen[keep])
+        for row in _rows(batches):
+            bucket, count = _open(row)
+            for word, _, bit, short, _, slots in _decisions(tree, bucket):
+                seen = count[word]
+                for k, (t, slot) in enumerate(zip(tables, slots)):
+                    keep = short if k == 0 else slice(None)
+                    np.add.at(t, (2 * slot + bit)[keep], seen[keep])
         for k, t in enumerate(tables):
             for at in range(0, len(t), 1 << 17):
                 piece = t[at:at + (1 << 17)]
@@ -457,21 +464,22 @@ def _learn(tree, model):
                 w[g] += np.linalg.solve(curve[g], xs.T @ (ns * (bit[at] - p[at])))
                 mass[g] += ns.sum()
 
-        for b in batches:
-            for row in b.to_pylist():
-                bucket, count = _open(row)
-                prefixes = Prefixes(tree, bucket, count)
-                for word, node, bit, short, key, slots in _decisions(tree, bucket):
-                    n = count[word]
-                    keep = np.flatnonzero(n)
-                    n, bit, node = n[keep], bit[keep], node[keep]
-                    x, gate = _logits(model.value, prefixes, bit, short[keep], key[keep], [s[keep] for s in slots], 1)
-                    step(x, gate, node, bit, n)
-                followers = Followers(row, len(count))
-                for j, come, hit, x, gate in followers.decisions(1):
-                    for at in range(0, len(come), _SYMBOLS):
-                        part = slice(at, at + _SYMBOLS)
-                        step(x[part], gate[part], np.full(len(hit[part]), _NODES - 2 + j), hit[part].astype(float), followers.n[come[part]])
+        for row in _rows(batches):
+            bucket, count = _open(row)
+            decisions = list(_decisions(tree, bucket))
+            prefixes = Prefixes(decisions, count)
+            for word, node, bit, short, key, slots in decisions:
+                n = count[word]
+                keep = np.flatnonzero(n)
+                n, bit, node = n[keep], bit[keep], node[keep]
+                x, gate = _logits(model.value, prefixes, bit, short[keep], key[keep], [s[keep] for s in slots], 1)
+                step(x, gate, node, bit, n)
+            del decisions, prefixes
+            followers = Followers(row, len(count))
+            for j, come, hit, x, gate in followers.decisions(1):
+                for at in range(0, len(come), _SYMBOLS):
+                    part = slice(at, at + _SYMBOLS)
+                    step(x[part], gate[part], np.full(len(hit[part]), _NODES - 2 + j), hit[part].astype(float), followers.n[come[part]])
         sums = np.concatenate([(w * mass[:, None]).ravel(), mass, seen.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
                                           pa.array([sums.astype("<f8").tobytes()], pa.binary())], names=["part", "sums"])
@@ -491,10 +499,12 @@ def _scored(tree, tables, weights, refine, row):
     token is a follower (and not spelled)."""
     bucket, count = _open(row)
     spelled = np.zeros(len(count))
-    prefixes = Prefixes(tree, bucket, count)
-    for word, node, bit, short, key, slots in _decisions(tree, bucket):
+    decisions = list(_decisions(tree, bucket))
+    prefixes = Prefixes(decisions, count)
+    for word, node, bit, short, key, slots in decisions:
         x, gate = _logits(tables, prefixes, bit, short, key, slots, 0)
         spelled += np.bincount(word, weights=_bits(x, gate, node, bit, weights, refine), minlength=len(count))
+    del decisions, prefixes
     followers = Followers(row, len(count))
     pair, found = np.zeros(len(followers.n)), np.zeros(len(followers.n), bool)
     for j, come, hit, x, gate in followers.decisions(0):
@@ -506,19 +516,18 @@ def _scored(tree, tables, weights, refine, row):
 def _answer(tree, model, weights, refine):
     """Log-probabilities dealt back to the blocks that hold the words and pairs."""
     def run(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                count, spelled, pair = _scored(tree, model.value, weights, refine, row)
-                place = np.frombuffer(row["places"], "<u4")
-                edge = np.concatenate([[0], np.cumsum(row["sizes"])])
-                pairs = np.concatenate([[0], np.cumsum(np.frombuffer(row["fan"], "<u4"), dtype=np.int64)])[edge]
-                for block, x, y, p, q in zip(row["blocks"], edge[:-1], edge[1:], pairs[:-1], pairs[1:]):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([block], pa.int64()), pa.array([row["bucket"]], pa.int32()),
-                         pa.array([count[place[x:y]].astype("<u4").tobytes()], pa.binary()),
-                         pa.array([spelled[place[x:y]].astype("<f4").tobytes()], pa.binary()),
-                         pa.array([pair[p:q].astype("<f2").tobytes()], pa.binary())],
-                        names=["block", "bucket", "seen", "score", "pairs"])
+        for row in _rows(batches):
+            count, spelled, pair = _scored(tree, model.value, weights, refine, row)
+            place = np.frombuffer(row["places"], "<u4")
+            edge = np.concatenate([[0], np.cumsum(row["sizes"])])
+            pairs = np.concatenate([[0], np.cumsum(np.frombuffer(row["fan"], "<u4"), dtype=np.int64)])[edge]
+            spans = list(zip(row["blocks"], edge[:-1], edge[1:], pairs[:-1], pairs[1:]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block for block, *_ in spans], pa.int64()), pa.array([row["bucket"]] * len(spans), pa.int32()),
+                 pa.array([count[place[x:y]].astype("<u4").tobytes() for _, x, y, _, _ in spans], pa.binary()),
+                 pa.array([spelled[place[x:y]].astype("<f4").tobytes() for _, x, y, _, _ in spans], pa.binary()),
+                 pa.array([pair[p:q].astype("<f2").tobytes() for _, _, _, p, q in spans], pa.binary())],
+                names=["block", "bucket", "seen", "score", "pairs"])
     return run
 
 
@@ -548,8 +557,22 @@ def _sum_up(tokens: int, vocabulary: int):
     return run
 
 
-def score(docs: DataFrame, held) -> DataFrame:
-    """Learn from the rows outside ``held`` (a boolean column), score all."""
+@dataclass
+class Learned:
+    """What ``learn`` made: the buckets' and the blocks' tables, and the model
+    of fixed size (code tree, letter tables, weights, map)."""
+    lexicon: DataFrame
+    load: DataFrame
+    tokens: int
+    vocabulary: int
+    tree: tuple
+    tables: list
+    weights: np.ndarray
+    refine: np.ndarray
+
+
+def learn(docs: DataFrame, held) -> Learned:
+    """Learn from the rows outside ``held`` (a boolean column)."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", held.alias("held_out"), "text")
     load = pin(rows.mapInArrow(_load, _LOAD))
@@ -563,11 +586,10 @@ def score(docs: DataFrame, held) -> DataFrame:
 
     def bytes_(batches):
         total = np.zeros(256)
-        for b in batches:
-            for row in b.to_pylist():
-                (code, length, words), count = _open(row)
-                total += np.bincount(words, weights=np.repeat(count, length), minlength=256)
-                total[0x20] += count[code != END].sum()
+        for row in _rows(batches):
+            (code, length, words), count = _open(row)
+            total += np.bincount(words, weights=np.repeat(count, length), minlength=256)
+            total[0x20] += count[code != END].sum()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
 
     frequency = np.zeros(256)
@@ -575,7 +597,7 @@ def score(docs: DataFrame, held) -> DataFrame:
         frequency[r.byte] = r.n
     tree = code_tree(frequency)
     tables = [np.zeros(2 << size, np.float32) for size in SLOTS]
-    with tidy(spark):
+    with tidy(spark), few_rows(spark):
         pieces = _tree(spelled.mapInArrow(_tables(tree), "context int, at int, part long, counts binary"),
                        ["context", "at"], _add, buckets).collect()      # one row for each piece of the tables
     for r in pieces:
@@ -584,14 +606,24 @@ def score(docs: DataFrame, held) -> DataFrame:
     model = spark.sparkContext.broadcast(tables)          # of fixed size
 
     fitted = lexicon.select("code", "count", "length", "words", "places", "fan", "follow", "times")
-    with tidy(spark):
+    with tidy(spark), few_rows(spark):
         fits = _tree(fitted.mapInArrow(_learn(tree, model), "part long, sums binary"), [], _add_sums, buckets).collect()
     weights, refine = _model(sum((np.frombuffer(r.sums, "<f8") for r in fits), np.zeros(_GATES * (_WIDTH + 1) + 2 * _NODES * _BINS)))
 
-    answers = lexicon.select("bucket", "code", "count", "length", "words", "blocks", "sizes", "places", "fan", "follow", "times").mapInArrow(
-        _answer(tree, model, weights, refine), "block long, bucket int, seen binary, score binary, pairs binary")
-    return load.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True).groupBy("block").applyInArrow(
-        _sum_up(int(tokens), int(vocabulary)), _RESULT)
+    return Learned(lexicon, load, int(tokens), int(vocabulary), tree, tables, weights, refine)
+
+
+def score(docs: DataFrame, held) -> DataFrame:
+    """Learn from the rows outside ``held`` (a boolean column), score all."""
+    m = learn(docs, held)
+    model = docs.sparkSession.sparkContext.broadcast(m.tables)           # of fixed size
+    answers = m.lexicon.select("bucket", "code", "count", "length", "words", "blocks", "sizes", "places", "fan", "follow", "times").mapInArrow(
+        _answer(m.tree, model, m.weights, m.refine), "block long, bucket int, seen binary, score binary, pairs binary")
+    with few_rows(docs.sparkSession):
+        answers = pin(answers)
+    unpin(m.lexicon)
+    return m.load.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True).groupBy("block").applyInArrow(
+        _sum_up(m.tokens, m.vocabulary), _RESULT)
 
 
 def _model(sums: np.ndarray):

@@ -35,17 +35,26 @@ atexit.register(_forget)
 
 
 @contextmanager
-def tidy(spark: SparkSession):
-    """Within: shuffle files go as soon as the query that wrote them ends."""
-    before = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEAN)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(_CLEAN, before)
+            spark.conf.set(key, before)
+
+
+def tidy(spark: SparkSession):
+    """Within: shuffle files go as soon as the query that wrote them ends."""
+    return _setting(spark, _CLEAN, "true")
+
+
+def few_rows(spark: SparkSession, rows: int = 2):
+    """Within: Python tasks get so many rows at a time, for tables of large rows."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def pin(df: DataFrame) -> DataFrame:
