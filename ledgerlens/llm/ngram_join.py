@@ -1,11 +1,15 @@
 """N-gram Jaccard join by MinHash banding.
 
 Texts are sets of word 5-grams.  Their MinHash signatures are cut into bands;
-texts that share a band meet, in stars around the smallest text of the band,
-and the connected texts are the candidates of each other.  All pairs among
-them are verified on full n-gram sets, in square blocks of ``BLOCK`` texts, as
-matrix products: what leaves a block is one row per text (its number of
-links, the smallest text it is linked with), never its pairs.
+texts that share a band meet.  A common passage can make unrelated texts meet,
+so those that meet are compared by sketches first (the smallest n-gram hash of
+each of ``BINS`` bins, a byte each): pairs whose estimate lies four deviations
+under the threshold are no candidates.  What is left is linked to connected
+groups of candidates.  All pairs among them are verified on full n-gram sets,
+in square blocks of ``BLOCK`` texts, as matrix products: what leaves a block
+is one row per text (its number of links, the smallest text it is linked
+with), never its pairs.  Texts that meet are compared in such blocks too, so a
+band that many texts share is dealt over many tasks.
 
 Equal texts are one node throughout, so copies are never expanded; the links
 of a node count for each of its copies.
@@ -37,6 +41,7 @@ THRESHOLD = 0.8
 RECALL = 0.9999     # chance that a pair at the threshold shares a band
 HASHES = 80         # MinHash values at most
 BLOCK = 512         # texts on one side of a block
+BINS = 256          # bytes of a sketch
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -67,6 +72,21 @@ def ngrams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grams, np.searchsorted(own, np.arange(len(offs)))
 
 
+def sketches(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A row of bytes per text: of each bin the smallest hash that falls into
+    it, by 255 values; 0 for none."""
+    low = np.full((len(first) - 1) * BINS, W.MAX_U64)
+    h = W.mix(grams ^ np.uint64(0x2545F4914F6CDD1D))
+    np.minimum.at(low, W.owner(first) * BINS + (h >> np.uint64(56)).astype(np.int64), h)
+    return np.where(low == W.MAX_U64, 0, 1 + low % np.uint64(255)).astype(np.uint8).reshape(-1, BINS)
+
+
+def least_estimate(threshold: float) -> float:
+    """What the sketches of a pair at the threshold agree on at least, but for
+    one pair in thirty thousand."""
+    return threshold - 4 * math.sqrt(threshold * (1 - threshold) / BINS)
+
+
 def _signatures(bands: int, rows: int):
     rng = np.random.default_rng(20_240_229)
     flips = rng.integers(1 << 63, size=bands * rows, dtype=np.uint64)
@@ -87,8 +107,73 @@ def _signatures(bands: int, rows: int):
             edge = np.concatenate([[0], np.cumsum(np.where(many > 0, bands, 0))])
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), part.column("node"), pa.array(many, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(key.T.ravel().view(np.int64)))],
-                names=["doc_id", "node", "n", "bands"])
+                 pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(key.T.ravel().view(np.int64))),
+                 pa.array([x.tobytes() for x in sketches(grams, first)], pa.binary())],
+                names=["doc_id", "node", "n", "bands", "sketch"])
+    return run
+
+
+def _lowest(linked: np.ndarray) -> np.ndarray:
+    """Of each row the first one it is linked to, directly or through others."""
+    np.fill_diagonal(linked, True)
+    root = np.arange(len(linked))
+    while True:
+        low = np.array([root[linked[k]].min() for k in range(len(linked))])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def like_pairs(sketch: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of sketches may reach the threshold.  One bit of each byte
+    first, as a matrix product (agreeing less differing bins, on average the
+    equal ones); then all bytes of the pairs left."""
+    full = sketch > 0
+    sign = np.where(full, (sketch & 1) * 2.0 - 1, 0).astype(np.float32)
+    size = full.sum(axis=1)
+    held = full.astype(np.float32)
+    union = size[:, None] + size[None, :] - held @ held.T
+    may = sign @ sign.T >= threshold * union - 4 * np.sqrt((1 - threshold ** 2) * union)
+    a, b = np.nonzero(np.triu(may, 1))
+    linked = np.zeros(may.shape, bool)
+    for at in range(0, len(a), 1 << 15):
+        x, y = a[at:at + (1 << 15)], b[at:at + (1 << 15)]
+        same = ((sketch[x] == sketch[y]) & full[x]).sum(axis=1) >= least_estimate(threshold) * union[x, y]
+        linked[x[same], y[same]] = linked[y[same], x[same]] = True
+    return linked
+
+
+def _alike(threshold: float):
+    """Texts of a block that share a band, each with the first one it is like
+    by their sketches; rows come sorted by block."""
+    def groups(rows: pa.RecordBatch, last: bool):
+        keys = [rows.column(c).to_numpy() for c in ("band", "i", "j")]
+        new = np.ones(rows.num_rows, bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        lead = np.append(np.flatnonzero(new), rows.num_rows)
+        if not last:
+            lead = lead[:-1]                     # the last one may go on
+        node = rows.column("node").to_numpy()
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
+        found = []
+        for a, z in zip(lead[:-1], lead[1:]):
+            if z - a > 1:
+                root = a + _lowest(like_pairs(sketch[a:z], threshold))
+                at = np.flatnonzero(root != np.arange(a, z))
+                found.append((node[a:z][at], node[root[at]]))
+        out = pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *[f[k] for f in found]])) for k in (0, 1)],
+                                         names=["a", "b"])
+        return out, rows.slice(lead[-1]) if len(lead) else rows
+
+    def run(batches):
+        rest = None
+        for b in batches:
+            if b.num_rows:
+                out, rest = groups(pa.concat_batches([rest, b]) if rest is not None else b, False)
+                yield out
+        if rest is not None:
+            yield groups(rest, True)[0]
     return run
 
 
@@ -123,14 +208,7 @@ def _verify(threshold: float):
             linked &= side[:, None] != side[None, :]
         np.fill_diagonal(linked, False)
         links = (linked @ copies).astype(np.int64)
-        np.fill_diagonal(linked, True)
-        root = np.arange(len(node))
-        while True:                                  # smallest linked text, and on from there
-            low = np.array([root[linked[k]].min() for k in range(len(node))])
-            low = low[low]
-            if (low == root).all():
-                break
-            root = low
+        root = _lowest(linked)
         return pa.table({"node": node, "links": links, "root": node[root]})
     return run
 
@@ -141,13 +219,20 @@ def _classes(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
     class's smallest node)."""
     bands, rows = banding(threshold, recall)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("node"), "text")
-    signed = pin(texts.mapInArrow(_signatures(bands, rows), "doc_id long, node long, n long, bands array<long>"))
-    nodes = pin(signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
-    # texts that share a band, as stars around the smallest text of the band
-    keys = signed.where("n > 0").select("node", F.explode("bands").alias("band"))
-    hubs = pin(keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far"))
-    met = components(keys.join(hubs, "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-                     .distinct())
+    signed = pin(texts.mapInArrow(_signatures(bands, rows), "doc_id long, node long, n long, bands array<long>, sketch binary"))
+    nodes = pin(signed.where("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    # texts that share a band, in square blocks
+    keys = nodes.select("node", "sketch", F.explode(F.array_distinct("bands")).alias("band"))
+    shared = pin(keys.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"), F.count("*").alias("n"))
+                 .where("n > 1").drop("n"))
+    met = (keys.join(shared, "band").withColumn("side", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
+           .select("band", "node", "sketch", "side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+           .select("band", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "sketch"))
+    alike = met.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(
+        _alike(threshold), "a long, b long")
+    met = components(alike.distinct())
+    nodes = nodes.drop("bands", "sketch")
     member = pin(met.join(nodes, "node"))
     size = member.groupBy("root").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     member = member.join(size, "root").withColumn("side", F.pmod(F.xxhash64("node", "root"), F.col("blocks")).cast("int"))

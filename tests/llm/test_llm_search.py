@@ -192,7 +192,7 @@ def test_queries_equal_their_sql(spark):
     from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     for name, sql in ORACLE_SQL.items():
         got = QUERIES[name](spark, sf)

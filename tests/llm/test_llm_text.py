@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import awkward, prose
 
@@ -186,6 +187,115 @@ def test_lm_base_is_exact_and_model_is_a_probability(spark, odd):
     assert all(r.score < 0 for r in got)
 
 
+def _brute_lm(texts, held, m):
+    """Scores by dictionaries: followers and word prefixes counted over the
+    training texts; the letter tables, weights and map are the model's."""
+    cm, end = context_mixing, b"\n"
+    begin, depth, nodes, bits = m.tree
+    squash = lambda z: 1 / (1 + math.exp(-min(max(z, -18), 18)))
+
+    def tokens(t):
+        return re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda x: x[0].lower(), (t or "").encode())) + [end]
+
+    def code(word):
+        part = pa.RecordBatch.from_arrays([pa.array([word.decode()]), pa.array([False])], names=["text", "held_out"])
+        return next(c for c in cm._slice(part)[2] if word == end or c != cm.END)
+
+    def path(symbol):
+        return [(nodes[begin[symbol] + k], bits[begin[symbol] + k]) for k in range(depth[symbol])]
+
+    follow, prefix = collections.defaultdict(collections.Counter), collections.defaultdict(lambda: [0, 0])
+    for t, out in zip(texts, held):
+        before = end
+        for w in [] if out else tokens(t):
+            follow[before][w] += 1
+            before = w
+            whole = w + b" " * (w != end)
+            for pos, symbol in enumerate(whole):
+                for node, bit in path(symbol):
+                    prefix[whole[:pos], node][bit] += 1
+
+    def decided(x, gate, node, bit):
+        z = sum(a * b for a, b in zip(x, m.weights[gate]))
+        p = (squash(z) + m.refine[node * cm._BINS + min(max(int((z + 9) / 18 * cm._BINS), 0), cm._BINS - 1)]) / 2
+        return math.log10(p if bit else 1 - p)
+
+    def rank(value, edges):
+        return sum(value > e for e in edges)
+
+    def spelled(w):
+        whole, total, step = w + b" " * (w != end), 0.0, 0
+        chunk = list(cm._decisions(m.tree, (np.array([code(w)], np.uint64), np.array([len(w)]), np.frombuffer(w, np.uint8))))
+        slots = [np.concatenate([c[5][k] for c in chunk]) for k in range(len(cm.SLOTS))]
+        for pos, symbol in enumerate(whole):
+            for node, bit in path(symbol):
+                seen = [[t[2 * s[step]], t[2 * s[step] + 1]] for t, s in zip(m.tables, slots)]
+                if pos >= cm.HEAD:
+                    seen[0] = prefix[whole[:pos], node]
+                x = [math.log((b + cm.PRIOR) / (a + cm.PRIOR)) for a, b in seen] + [0.3]
+                gate = rank(sum(seen[0]), [0.5, 1.5, 4, 16, 200]) * 4 + rank(sum(seen[-1]), [0.5, 10, 300])
+                total += decided(x, gate, node, bit)
+                step += 1
+        return total
+
+    of = {}
+    out = []
+    for t in texts:
+        total, before = 0.0, end
+        for w in tokens(t):
+            seen = follow[before]
+            best = sorted(seen, key=lambda f: (-seen[f], cm._follower(np.array([code(f)], np.uint64))[0]))[:2]
+            rest, kinds = sum(seen.values()), len(seen)
+            for j, f in enumerate(best):
+                n, d = seen[f], max(kinds - j, 1)
+                x = [math.log((n + cm.PRIOR) / (rest - n + cm.PRIOR)), math.log((max(rest - d, 0) + cm.PRIOR) / (d + cm.PRIOR)),
+                     math.log((n + cm.PRIOR) / (d + cm.PRIOR)), 0, 0, 0.3]
+                gate = cm._LETTER_GATES + j * cm._WORD_GATES + rank(rest, [1.5, 4, 16, 100]) * 4 + rank(n, [1.5, 4, 16])
+                total += decided(x, gate, cm._NODES - 2 + j, f == w)
+                rest -= n
+                if f == w:
+                    break
+            if w not in best:
+                total += of.setdefault(w, spelled(w))
+            before = w
+        out.append(total)
+    return out
+
+
+def test_lm_scores_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(context_mixing, "BUCKET", 60)                     # several buckets
+    texts = [prose(i % 5, 30, 80) for i in range(30)] + [None, "", "A", "né " * 20, "word word word", prose(99, 60, 300)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    held = held_out("doc_id", 10, 0)
+    out = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
+    want = _brute_lm(texts, out, context_mixing.learn(rows, held))
+    got = {r.doc_id: r.score for r in context_mixing.score(rows, held).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-3)
+
+
+def test_lm_hears_the_order_of_words(spark):
+    known = [prose(i, 40, 3000) for i in range(40)]
+    words = known[0].split()
+    rows = [(i, t) for i, t in enumerate(known)] * 2
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    rows += [(held[0], known[0]), (held[1], " ".join(sorted(words)))]
+    train = [r for r in rows if r[0] >= 1000 or r[0] == 0 or zlib.crc32(str(r[0]).encode()) % 10]
+    df = spark.createDataFrame(train, "doc_id long, text string")
+    is_held = df.doc_id >= 1000
+    got = {r.doc_id: r for r in context_mixing.score(df, is_held).where("held_out").collect()}
+    assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score)
+    assert got[held[0]].score > 0.6 * got[held[1]].score                   # a known sentence costs far less
+
+
+def test_lm_grows_with_the_corpus(spark):
+    def kept(n):
+        df = spark.createDataFrame([(i, prose(i, 60, 10 ** 6)) for i in range(n)], "doc_id long, text string")
+        m = context_mixing.learn(df, F.lit(False))
+        return sum(len(r.code) + len(r.follow) for r in m.lexicon.collect())
+    from pyspark.sql import functions as F
+    assert kept(80) > 3 * kept(20)
+
+
 def test_lm_beats_word_counts_on_held_out_rows(spark):
     held = context_mixing.score(table(spark, "/root/testdata/sf0.01", "documents"), held_out("doc_id", 10, 0)).where("held_out")
     model, base = held.groupBy().sum("score", "base_score").first()
