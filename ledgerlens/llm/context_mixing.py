@@ -62,9 +62,9 @@ from .store import few_rows, pin, tidy, unpin
 
 BLOCK = 8 << 20
 BUCKET = 50_000
-HEAD = 3                                    # bytes that words of one bucket share; one more for every thirtyfold beyond 50 GB
+HEAD = 4                                    # bytes that words of one bucket share; one more for every thirtyfold beyond 50 GB
 ORDERS = (1, 2, 3, 4)                       # bytes of the letter contexts
-SLOTS = (18, 16, 18, 19, 20)                # table sizes: word so far below HEAD, then ORDERS
+SLOTS = (20, 16, 18, 19, 20)                # table sizes: word so far below HEAD, then ORDERS
 PRIOR = 0.4
 _SYMBOLS = 1 << 15                          # bytes spelled at once
 _ROWS = 4096
@@ -280,7 +280,7 @@ def _decisions(tree, bucket):
         salt = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         keys = [(c[rep] ^ salt) * np.uint64(0xD6E8FEB86659FD93) for c in contexts]
         slots = [(k >> np.uint64(64 - size)).astype(np.int32) for k, size in zip(keys, SLOTS)]
-        yield (a + own[rep]).astype(np.int32), node, bits[step], (pos < HEAD)[rep], keys[0], slots
+        yield (a + own[rep]).astype(np.int32), node.astype(np.int16), bits[step].astype(np.int8), (pos < HEAD)[rep], keys[0], slots
 
 
 class Prefixes:
@@ -335,31 +335,34 @@ class Followers:
             self.top[j, self.w[order[at]]] = order[at]
 
     def decisions(self, own: int):
-        """For each rank of follower: pairs that come to it, whether they are
-        it, predictions and gate; ``own`` of each pair's occurrences left out."""
-        n = self.n
-        rest = self.all[self.w] - own
-        distinct = self.distinct[self.w] - own * (n == 1)
-        come = np.arange(len(n))
+        """For each rank of follower, in runs: pairs that come to it, whether they
+        are it, predictions and gate; ``own`` of each pair's occurrences left out."""
+        n, come = self.n, np.arange(len(self.n))
+        gone, kinds = np.zeros(len(self.all)), 0             # of each word: what the ranks before took
         for j in range(2):
             top = self.top[j, self.w[come]]
-            come, top = come[top >= 0], top[top >= 0]
-            hit = top == come
-            if own:                                          # known from elsewhere, and an occurrence to judge
-                ok = (n[come] > 0) & (~hit | (n[come] > 1))
-                come, top, hit = come[ok], top[ok], hit[ok]
-            has = n[top] - own * hit
-            r, d = np.maximum(rest[come], has), np.maximum(distinct[come], 1)
-            x = np.zeros((len(come), _WIDTH))
-            x[:, 0] = np.log((has + PRIOR) / (r - has + PRIOR))
-            x[:, 1] = np.log((np.maximum(r - d, 0) + PRIOR) / (d + PRIOR))
-            x[:, 2] = np.log((has + PRIOR) / (d + PRIOR))
-            x[:, -1] = 0.3
-            gate = np.searchsorted([1.5, 4, 16, 100], r) * 4 + np.searchsorted([1.5, 4, 16], has)
-            yield j, come, hit, x, _LETTER_GATES + j * _WORD_GATES + gate
-            rest[come] -= n[top]
-            distinct[come] -= 1
-            come = come[~hit]
+            come = come[top >= 0]
+            for at in range(0, len(come), _SYMBOLS):
+                k = come[at:at + _SYMBOLS]
+                top = self.top[j, self.w[k]]
+                if own:                                      # known from elsewhere, and an occurrence to judge
+                    ok = (n[k] > 0) & ((top != k) | (n[k] > 1))
+                    k, top = k[ok], top[ok]
+                hit = top == k
+                has = n[top] - own * hit
+                r = np.maximum(self.all[self.w[k]] - gone[self.w[k]] - own, has)
+                d = np.maximum(self.distinct[self.w[k]] - kinds - own * (n[k] == 1), 1)
+                x = np.zeros((len(k), _WIDTH))
+                x[:, 0] = np.log((has + PRIOR) / (r - has + PRIOR))
+                x[:, 1] = np.log((np.maximum(r - d, 0) + PRIOR) / (d + PRIOR))
+                x[:, 2] = np.log((has + PRIOR) / (d + PRIOR))
+                x[:, -1] = 0.3
+                gate = np.searchsorted([1.5, 4, 16, 100], r) * 4 + np.searchsorted([1.5, 4, 16], has)
+                yield j, k, hit, x, _LETTER_GATES + j * _WORD_GATES + gate
+            known = self.top[j] >= 0
+            gone[known] += n[self.top[j, known]]
+            kinds += 1
+            come = come[self.top[j, self.w[come]] != come]
 
 
 def _tables(tree):
@@ -477,9 +480,8 @@ def _learn(tree, model):
             del decisions, prefixes
             followers = Followers(row, len(count))
             for j, come, hit, x, gate in followers.decisions(1):
-                for at in range(0, len(come), _SYMBOLS):
-                    part = slice(at, at + _SYMBOLS)
-                    step(x[part], gate[part], np.full(len(hit[part]), _NODES - 2 + j), hit[part].astype(float), followers.n[come[part]])
+                if len(come):
+                    step(x, gate, np.full(len(come), _NODES - 2 + j), hit.astype(float), followers.n[come])
         sums = np.concatenate([(w * mass[:, None]).ravel(), mass, seen.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
                                           pa.array([sums.astype("<f8").tobytes()], pa.binary())], names=["part", "sums"])
