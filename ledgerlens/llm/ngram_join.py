@@ -223,10 +223,12 @@ def _classes(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
     nodes = pin(signed.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     # texts that share a band, in square blocks
-    keys = nodes.select("node", "sketch", F.explode(F.array_distinct("bands")).alias("band"))
-    shared = pin(keys.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"), F.count("*").alias("n"))
-                 .where("n > 1").drop("n"))
-    met = (keys.join(shared, "band").withColumn("side", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
+    keys = nodes.select("node", F.explode(F.array_distinct("bands")).alias("band"))
+    shared = (keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+              .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    # sketches join what is left: most bands are one text's alone (one plan at every size, as below)
+    met = (keys.join(pin(shared).hint("merge"), "band").join(nodes.select("node", "sketch").hint("merge"), "node")
+           .withColumn("side", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
            .select("band", "node", "sketch", "side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
            .select("band", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "sketch"))
     alike = met.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(
