@@ -61,7 +61,8 @@ from . import words as W
 from .store import few_rows, pin, tidy, unpin
 
 BLOCK = 8 << 20
-BUCKET = 50_000
+BUCKET = 25_000
+ROW_GROUP = 16 << 20
 HEAD = 4                                    # bytes that words of one bucket share; one more for every thirtyfold beyond 50 GB
 ORDERS = (1, 2, 3, 4)                       # bytes of the letter contexts
 SLOTS = (20, 16, 18, 19, 20)                # table sizes: word so far below HEAD, then ORDERS
@@ -305,6 +306,7 @@ def _rows(batches):
     for b in batches:
         for r in range(b.num_rows):
             yield {name: b.column(k)[r].as_py() for k, name in enumerate(b.schema.names)}
+        pa.default_memory_pool().release_unused()
 
 
 def _open(row):
@@ -577,11 +579,11 @@ def learn(docs: DataFrame, held) -> Learned:
     """Learn from the rows outside ``held`` (a boolean column)."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", held.alias("held_out"), "text")
-    load = pin(rows.mapInArrow(_load, _LOAD))
+    load = pin(rows.mapInArrow(_load, _LOAD), ROW_GROUP)
     buckets = max(1, -(-load.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0] // BUCKET))
     pieces = ", ".join(f"{c} binary" for c in _PIECE)
     dealt = rows.mapInArrow(_deal(buckets), f"bucket int, block long, {pieces}")       # scanned again: cheaper than written
-    lexicon = pin(dealt.groupBy("bucket").applyInArrow(_bucket, _BUCKET_FIELDS))
+    lexicon = pin(dealt.groupBy("bucket").applyInArrow(_bucket, _BUCKET_FIELDS), ROW_GROUP)
     vocabulary, tokens = lexicon.agg(F.coalesce(F.sum("words_seen"), F.lit(0)),
                                      F.coalesce(F.sum("tokens_seen"), F.lit(0))).first()
     spelled = lexicon.select("code", "count", "length", "words")
@@ -622,7 +624,7 @@ def score(docs: DataFrame, held) -> DataFrame:
     answers = m.lexicon.select("bucket", "code", "count", "length", "words", "blocks", "sizes", "places", "fan", "follow", "times").mapInArrow(
         _answer(m.tree, model, m.weights, m.refine), "block long, bucket int, seen binary, score binary, pairs binary")
     with few_rows(docs.sparkSession):
-        answers = pin(answers)
+        answers = pin(answers, ROW_GROUP)
     unpin(m.lexicon)
     return m.load.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True).groupBy("block").applyInArrow(
         _sum_up(m.tokens, m.vocabulary), _RESULT)

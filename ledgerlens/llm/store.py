@@ -52,21 +52,23 @@ def tidy(spark: SparkSession):
     return _setting(spark, _CLEAN, "true")
 
 
-def few_rows(spark: SparkSession, rows: int = 2):
+def few_rows(spark: SparkSession, rows: int = 1):
     """Within: Python tasks get so many rows at a time, for tables of large rows."""
     return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, row_group: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it
     back: the lineage is cut, a lost executor costs no earlier step, and
-    later readers prune columns.  The folder is deleted when the process ends."""
+    later readers prune columns.  The folder is deleted when the process ends.
+    ``row_group``: bytes a writer gathers before it lets them go, for tables of
+    large rows."""
     spark = df.sparkSession
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens-llm"
     path = f"{root}-{uuid.uuid4().hex}"
     _roots[path] = spark
     with tidy(spark):
-        df.write.parquet(path)
+        (df.write.option("parquet.block.size", row_group) if row_group else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.pinned_at = path
     return out
