@@ -18,7 +18,7 @@ def test_sketches_keep_pairs_at_the_threshold(words):
     kept = total = 0
     for _ in range(60):
         base = [f"w{rng.randrange(10 ** 6)}" for _ in range(words)]
-        near = base[:-1] if words < 12 else base[:int(words * 0.91)] + [f"v{rng.randrange(10 ** 6)}" for _ in range(int(words * 0.01))]
+        near = base[:-1] if words < 40 else base[:int(words * 0.91)] + [f"v{rng.randrange(10 ** 6)}" for _ in range(int(words * 0.01))]
         grams, first = ngrams(*_column([" ".join(base), " ".join(near)]))
         a, b = set(grams[:first[1]]), set(grams[first[1]:])
         if len(a & b) >= 0.8 * len(a | b):
