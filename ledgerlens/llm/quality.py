@@ -155,8 +155,10 @@ def _fitted(measured: DataFrame, known: DataFrame, sample, share: float):
             yield pa.RecordBatch.from_arrays([pa.array(_expand(_features(b.column("f")), mean, scale) @ w)], names=["s"])
 
     judged = measured.join(known.select(F.col("doc_id").alias("id")), F.col("doc_id") == F.col("id"), "left_semi").select("f")
-    cut, spread = judged.mapInArrow(raw, "s double").agg(
-        F.percentile_approx("s", 1 - share, _EXACT), F.stddev_pop("s")).first()
+    scores = judged.mapInArrow(raw, "s double")
+    low, spread = scores.agg(F.percentile_approx("s", 1 - share, _EXACT), F.stddev_pop("s")).first()
+    high = scores.where(F.col("s") > low).agg(F.min("s")).first()[0]
+    cut = low if high is None else (low + high) / 2          # between two scores, so that ties fall on one side
     return mean, scale, w, cut, max(spread / 4, 1e-6)
 
 

@@ -289,7 +289,7 @@ def test_lm_hears_the_order_of_words(spark):
 
 def test_lm_grows_with_the_corpus(spark):
     def kept(n):
-        df = spark.createDataFrame([(i, prose(i, 60, 10 ** 6)) for i in range(n)], "doc_id long, text string")
+        df = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(n)], "doc_id long, text string")
         m = context_mixing.learn(df, F.lit(False))
         return sum(len(r.code) + len(r.follow) for r in m.lexicon.collect())
     from pyspark.sql import functions as F
