@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators.basket import co_occurrence
 
@@ -46,3 +47,24 @@ def test_line_multiplicity(spark):
     df = spark.createDataFrame([(1, 7), (1, 7), (1, 3), (1, 3), (1, 3)], "basket long, item long")
     got = {(r.item_a, r.item_b): r.pairs for r in co_occurrence(df, "basket", "item").collect()}
     assert got == {(7, 3): 6}
+
+
+@pytest.mark.parametrize("hot", [0, 120])                        # 120 distinct items: 7,140 pairs of one basket
+def test_tasks_follow_the_pairs_not_the_bytes(spark, hot):
+    lines = [(b, b * 10 + i) for b in range(400) for i in range(10)] + [(-1, i) for i in range(hot)]
+    df = spark.createDataFrame(lines, "basket long, item long")
+    pairs = co_occurrence(df, "basket", "item", pairs_per_task=1000)
+    held = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == len(_brute(lines, False)) and max(held) < 2000
+
+
+def test_lines_of_a_hot_basket_in_many_files(spark):
+    lines = [(1, i % 3) for i in range(900)] + [(1, None), (None, 1)]
+    df = spark.createDataFrame(lines, "basket long, item long").repartition(80)
+    for distinct, n in ((False, 300 * 300), (True, 1)):
+        got = {(r.item_a, r.item_b): r.pairs for r in co_occurrence(df, "basket", "item", distinct).collect()}
+        assert got == {(1, 0): n, (2, 0): n, (2, 1): n}
+
+
+def test_no_lines(spark):
+    assert co_occurrence(spark.createDataFrame([], "basket long, item long"), "basket", "item").collect() == []
