@@ -23,7 +23,10 @@ first, and every fold gets as many tasks as its lines and pairs need.
    (per bucket of baskets), then over all.
 
 An array holds distinct items of one basket: at most the number of products.
-Only ids travel; callers join names to the folded pairs.
+Only ids travel; ``named_co_occurrence`` joins names to the folded pairs.  Its
+joins, folds and sort get their tasks from the same counts; the session's
+shuffle partitions can only add to them.  The names are the hashed side of
+the joins, the pairs stream past them and are never sorted by id.
 
 Line multiplicity is kept: two lines of item A and three of item B in one
 basket give 6 line pairs, exactly as the line-level self-join counts them.
@@ -75,9 +78,9 @@ def _sizes(lines: DataFrame, size: int) -> tuple[int, float, float]:
     return of.lines or 0, of.narrow or 0.0, wide
 
 
-def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bool = False,
-                  pairs_per_task: int = 1_000_000, lines_per_task: int = 500_000) -> DataFrame:
-    """Return (``item_a``, ``item_b``, ``pairs``) for item_a > item_b."""
+def _folded(lines: DataFrame, basket: str, item: str, distinct_baskets: bool,
+            pairs_per_task: int, lines_per_task: int) -> tuple[DataFrame, int]:
+    """(``item_a``, ``item_b``, ``pairs``) and the tasks they are dealt over."""
     size = max(1, math.isqrt(pairs_per_task))           # items of a range
     lines = (lines.where(F.col(basket).isNotNull() & F.col(item).isNotNull())
              .select(F.col(basket).alias("basket"), F.col(item).alias("item")))
@@ -107,5 +110,34 @@ def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bo
                         _bucket(_tasks(wide / pairs_per_task), "basket", "i", "j").alias("bucket")))
         pairs = pairs.unionByName(_pairs(many.repartition(_tasks(wide / pairs_per_task), "bucket")))
 
-    return (pairs.repartition(_tasks((narrow + wide) / pairs_per_task), "item_a", "item_b")
-            .groupBy("item_a", "item_b").agg(F.sum("n").alias("pairs")))
+    tasks = _tasks((narrow + wide) / pairs_per_task)
+    return pairs.repartition(tasks, "item_a", "item_b").groupBy("item_a", "item_b").agg(F.sum("n").alias("pairs")), tasks
+
+
+def co_occurrence(lines: DataFrame, basket: str, item: str, distinct_baskets: bool = False,
+                  pairs_per_task: int = 1_000_000, lines_per_task: int = 500_000) -> DataFrame:
+    """Return (``item_a``, ``item_b``, ``pairs``) for item_a > item_b."""
+    return _folded(lines, basket, item, distinct_baskets, pairs_per_task, lines_per_task)[0]
+
+
+def named_co_occurrence(lines: DataFrame, names: DataFrame, basket: str, item: str, name: str, distinct_baskets: bool = False,
+                        pairs_per_task: int = 1_000_000, lines_per_task: int = 500_000) -> DataFrame:
+    """Return (``name_a``, ``name_b``, ``pairs``), most pairs first, then by name:
+    the item pairs added up by the ``name`` that ``names`` has for each ``item``.
+
+    The first fold by name is one per smaller item, in the task that joined it
+    (at most a row per product), so that names of many items meet folded."""
+    pairs, tasks = _folded(lines, basket, item, distinct_baskets, pairs_per_task, lines_per_task)
+    session = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, min(session, 10 * tasks), _tasks(names.count() / lines_per_task))
+
+    def named(side: str) -> DataFrame:
+        return names.select(F.col(item).alias(f"item_{side}"), F.col(name).alias(f"name_{side}")).hint("shuffle_hash")
+
+    order = [F.desc("pairs"), "name_a", "name_b"]
+    return (pairs.repartition(tasks, "item_a").join(named("a"), "item_a")
+            .repartition(tasks, "item_b").join(named("b"), "item_b")
+            .groupBy("item_b", "name_a", "name_b").agg(F.sum("pairs").alias("pairs"))
+            .repartition(tasks, "name_a", "name_b")
+            .groupBy("name_a", "name_b").agg(F.sum("pairs").alias("pairs"))
+            .repartitionByRange(tasks, *order).orderBy(*order))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY, pct, ratio, raw_money
 from ..functions import fixed as V
-from .basket import co_occurrence
+from .basket import named_co_occurrence
 from .common import product_category, product_totals, with_cogs
 
 
@@ -26,13 +26,8 @@ def products_bought_together(detail: DataFrame, product: DataFrame,
 
     Pairs are formed and folded on ids; names are joined to the folded pairs
     and the counts added up by name (names may repeat across ids)."""
-    pairs = co_occurrence(detail, "SalesOrderID", "ProductID", distinct_baskets=distinct_orders)
-    names = product.select("ProductID", "Name")
-    return (pairs.join(names.select(F.col("ProductID").alias("item_a"), F.col("Name").alias("Product1")), "item_a")
-            .join(names.select(F.col("ProductID").alias("item_b"), F.col("Name").alias("Product2")), "item_b")
-            .groupBy("Product1", "Product2")
-            .agg(F.sum("pairs").cast("long").alias("No_PurchasedTogether"))
-            .orderBy(F.desc("No_PurchasedTogether"), "Product1", "Product2"))
+    pairs = named_co_occurrence(detail, product, "SalesOrderID", "ProductID", "Name", distinct_baskets=distinct_orders)
+    return pairs.select(F.col("name_a").alias("Product1"), F.col("name_b").alias("Product2"), F.col("pairs").alias("No_PurchasedTogether"))
 
 
 def _units_sold(detail: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.basket import co_occurrence
+from ledgerlens.operators.basket import co_occurrence, named_co_occurrence
+from ledgerlens.operators.products import products_bought_together
 
 
 def _brute(lines, distinct):
@@ -68,3 +69,43 @@ def test_lines_of_a_hot_basket_in_many_files(spark):
 
 def test_no_lines(spark):
     assert co_occurrence(spark.createDataFrame([], "basket long, item long"), "basket", "item").collect() == []
+
+
+def _named(spark, lines, names, **sizes):
+    lines = spark.createDataFrame(lines, "basket long, item long")
+    return named_co_occurrence(lines, spark.createDataFrame(names, "item long, name string"), "basket", "item", "name", **sizes)
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+@pytest.mark.parametrize("per_task", [1_000_000, 20])
+def test_named_pairs_equal_brute_force(spark, distinct, per_task):
+    lines = _lines(2)
+    # names of several items, an item twice, a null name, a null item, an item without a name (11)
+    names = [(i, f"n{i // 3}") for i in range(40) if i not in (7, 11)] + [(7, None), (None, "x"), (3, "again")]
+    want = Counter()
+    for (a, b), n in _brute(lines, distinct).items():
+        for name_a, name_b in itertools.product([m for i, m in names if i == a], [m for i, m in names if i == b]):
+            want[(name_a, name_b)] += n
+    got = [tuple(r) for r in _named(spark, lines, names, distinct_baskets=distinct, pairs_per_task=per_task, lines_per_task=per_task).collect()]
+    assert {r[:2]: r[2] for r in got} == want and len(got) == len(want)
+    assert got == sorted(got, key=lambda r: (-r[2], r[0] or "", r[1] or ""))
+
+
+def test_named_pairs_are_dealt_by_their_number(spark):
+    lines = [(b, b * 10 + i) for b in range(400) for i in range(10)]                # 18,000 pairs, 4 shuffle partitions
+    named = _named(spark, lines, [(i, f"name {i}") for i in range(4000)], pairs_per_task=1000)
+    held = [r["count"] for r in named.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 18_000 and max(held) < 2000
+
+
+def test_names_get_tasks_where_pairs_are_few(spark):
+    plan = _named(spark, [(1, 1), (1, 2)], [(i, f"name {i}") for i in range(2000)], lines_per_task=200)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(item_a" in plan and plan.count(", 10), ") >= 6     # joins, fold and sort: 2,000 names by 200
+
+
+def test_only_names_are_dealt_by_the_session(spark):
+    detail = spark.createDataFrame([(1, 1), (1, 2)], "SalesOrderID long, ProductID long")
+    product = spark.createDataFrame([(1, "a"), (2, "b")], "ProductID long, Name string")
+    for distinct in (False, True):
+        plan = products_bought_together(detail, product, distinct)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ENSURE_REQUIREMENTS") == 2 and plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
