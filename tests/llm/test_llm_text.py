@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -273,6 +274,26 @@ def test_lm_scores_equal_brute_force(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-3)
 
 
+def test_lm_scores_with_cut_heads_and_words_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    ends = ["".join(rng.choice("abé") for _ in range(rng.randint(0, 5))) for _ in range(60)]
+    texts = [" ".join(rng.choice(["prefi" + rng.choice(ends), "a-common-start-of-words-" + rng.choice(ends), "the " + prose(rng.randint(0, 999), 1, 300) + " the " + rng.choice(ends),
+                                  prose(rng.randint(0, 99), 3, 80)]) for _ in range(40)) for i in range(14)] + [None, "", "prefi", "the"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3).cache()
+    held = held_out("doc_id", 10, 0)
+    out = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
+    monkeypatch.setattr(context_mixing, "HEAVY", 60)
+    monkeypatch.setattr(context_mixing, "SAMPLE", 4)
+    m = context_mixing.learn(rows, held)
+    cuts, kept = m.common.cuts, m.lexicon.collect()
+    assert (cuts["inner"] & (cuts["follow"] == 0)).sum() > 10 and (cuts["follow"] > 0).sum() > 2
+    assert len(m.common.words) > 0 and len(m.common.keys) > 100
+    assert max(len(r.follow) for r in kept) < 0.15 * sum(len(r.follow) for r in kept)
+    want = _brute_lm(texts, out, m)
+    got = {r.doc_id: r.score for r in context_mixing.score(rows, held).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-3)
+
+
 def test_lm_hears_the_order_of_words(spark):
     known = [prose(i, 40, 3000) for i in range(40)]
     words = known[0].split()
