@@ -53,6 +53,7 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 import zlib
 from dataclasses import dataclass
@@ -69,6 +70,7 @@ from .store import few_rows, pin, tidy, unpin
 BLOCK = 8 << 20
 BUCKET = 25_000
 ROW_GROUP = 16 << 20
+SCAN = 2048                                  # documents that a scan hands over at a time
 HEAD = 4                                    # bytes from which on "word so far" is counted exactly
 HEAVY = 1 << 19                             # bytes spelled and pairs of blocks in a cut bucket; up to twice that is not cut
 SAMPLE = 1 << 15                            # of these one in so many is told to the driver, to place the cuts
@@ -97,6 +99,13 @@ def _follower(code: np.ndarray) -> np.ndarray:
     return (W.mix(code) >> np.uint64(32)).astype("<u4")
 
 
+def _let_go() -> None:
+    """Freed memory goes back to the system: workers stay while their executor's JVM goes on."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     edge = np.concatenate([[0], np.cumsum(length)])
     return data[np.repeat(start - edge[:-1], length) + np.arange(edge[-1])]
@@ -193,6 +202,8 @@ def _blocks(batches):
             size += bytes_ + rows.num_rows
     if held:
         yield close()
+    held = []
+    _let_go()
 
 
 _LOAD = "block long, entries long, doc_id array<long>, held_out array<boolean>, tokens array<long>, low binary, high binary, sample binary"
@@ -506,7 +517,8 @@ def _decisions(tree, bucket):
 
 class Prefixes:
     """Exact counts of the bucket's contexts "word so far" from ``HEAD`` on;
-    of those that words of other buckets share, the counts over all of them."""
+    of those that words of other buckets share, the counts over all of them.
+    In the decisions, places in the counts take the keys' place."""
 
     def __init__(self, decisions, count, common: Common, bucket: int):
         long = [(key[~short], bit[~short], word[~short]) for word, _, bit, short, key, _ in decisions]
@@ -514,6 +526,13 @@ class Prefixes:
         self.keys, at = np.unique(key, return_inverse=True)
         both = np.bincount(2 * at + bit, weights=count[word], minlength=2 * len(self.keys))
         self.counts = both[::2], both[1::2]
+        del key, bit, word
+        edge = 0
+        for k, (word, node, bit, short, _, slots) in enumerate(decisions):
+            place = np.zeros(len(short), np.int32)
+            many = len(short) - int(short.sum())
+            place[~short] = at[edge:edge + many]
+            decisions[k], edge = (word, node, bit, short, place, slots), edge + many
         wide = common.contexts(bucket)
         if len(wide) and len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, common.keys[wide]), len(self.keys) - 1)
@@ -521,10 +540,10 @@ class Prefixes:
             for mine, all_ in zip(self.counts, common.counts):
                 mine[at[here]] = all_[wide[here]]
 
-    def add(self, n0, n1, short, key):
+    def add(self, n0, n1, short, place):
         """Counts of the short contexts, replaced where the word so far is long."""
         long = np.flatnonzero(~short)
-        at = np.searchsorted(self.keys, key[long])
+        at = place[long]
         n0[long], n1[long] = self.counts[0][at], self.counts[1][at]
 
 
@@ -534,6 +553,7 @@ def _rows(batches):
         for r in range(b.num_rows):
             yield {name: b.column(k)[r].as_py() for k, name in enumerate(b.schema.names)}
         pa.default_memory_pool().release_unused()
+    _let_go()
 
 
 def _open(row):
@@ -662,7 +682,7 @@ def _tree(rows: DataFrame, keys: list[str], add, tasks: int, fan: int = 64) -> D
     return rows
 
 
-def _logits(tables, prefixes, bit, short, key, slots, own):
+def _logits(tables, prefixes, bit, short, place, slots, own):
     """Logit of each context's prediction (own occurrences taken out), a
     constant, and the gate."""
     x = np.empty((len(bit), _WIDTH))
@@ -671,7 +691,7 @@ def _logits(tables, prefixes, bit, short, key, slots, own):
     for k, (t, slot) in enumerate(zip(tables, slots)):
         n0, n1 = t[2 * slot].astype(float), t[2 * slot + 1].astype(float)
         if k == 0:
-            prefixes.add(n0, n1, short, key)
+            prefixes.add(n0, n1, short, place)
         n0, n1 = np.maximum(n0 - own * (1 - bit), 0), np.maximum(n1 - own * bit, 0)
         x[:, k] = np.log((n1 + PRIOR) / (n0 + PRIOR))
         if k in (0, len(SLOTS) - 1):
@@ -715,11 +735,11 @@ def _learn(tree, model, common):
             bucket, count = _open(row)
             decisions = list(_decisions(tree, bucket))
             prefixes = Prefixes(decisions, count, common.value, row["bucket"])
-            for word, node, bit, short, key, slots in decisions:
+            for word, node, bit, short, place, slots in decisions:
                 n = count[word]
                 keep = np.flatnonzero(n)
                 n, bit, node = n[keep], bit[keep], node[keep]
-                x, gate = _logits(model.value, prefixes, bit, short[keep], key[keep], [s[keep] for s in slots], 1)
+                x, gate = _logits(model.value, prefixes, bit, short[keep], place[keep], [s[keep] for s in slots], 1)
                 step(x, gate, node, bit, n)
             del decisions, prefixes
             followers = Followers(row, bucket[0], common.value)
@@ -747,8 +767,8 @@ def _scored(tree, tables, common, weights, refine, row):
     spelled = np.zeros(len(count))
     decisions = list(_decisions(tree, bucket))
     prefixes = Prefixes(decisions, count, common, row["bucket"])
-    for word, node, bit, short, key, slots in decisions:
-        x, gate = _logits(tables, prefixes, bit, short, key, slots, 0)
+    for word, node, bit, short, place, slots in decisions:
+        x, gate = _logits(tables, prefixes, bit, short, place, slots, 0)
         spelled += np.bincount(word, weights=_bits(x, gate, node, bit, weights, refine), minlength=len(count))
     del decisions, prefixes
     followers = Followers(row, bucket[0], common)
@@ -783,6 +803,7 @@ _RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_to
 def _sum_up(tokens: int, vocabulary: int):
     """A block's documents from its payload and the buckets' answers in order."""
     def run(rows: pa.Table) -> pa.Table:
+        _let_go()                                               # of the block before
         rows = rows.sort_by("bucket")
         load = rows.slice(0, 1).to_pylist()[0]                  # bucket -1: the block itself
         seen, score, pairs = (np.concatenate([np.frombuffer(x, t) for x in rows[c].to_pylist()[1:]]).astype(np.float64)
@@ -813,6 +834,7 @@ class Learned:
     tree: tuple
     tables: list
     common: Common
+    sent: tuple                       # tables and common, broadcast
     weights: np.ndarray
     refine: np.ndarray
 
@@ -824,14 +846,16 @@ def learn(docs: DataFrame, held) -> Learned:
     """Learn from the rows outside ``held`` (a boolean column)."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", held.alias("held_out"), "text")
-    load = pin(rows.mapInArrow(_load(SAMPLE), _LOAD), ROW_GROUP)
+    with few_rows(spark, SCAN):
+        load = pin(rows.mapInArrow(_load(SAMPLE), _LOAD), ROW_GROUP)
     buckets = max(1, -(-load.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0] // BUCKET))
     sample = b"".join(bytes(r["sample"]) for r in load.select("sample").collect())     # one in SAMPLE
     place = _cuts(np.frombuffer(sample, _PLACE), buckets, HEAVY, SAMPLE)
     buckets, cuts = len(place) + 1, spark.sparkContext.broadcast(place)
     pieces = ", ".join(f"{c} binary" for c in _PIECE)
     dealt = rows.mapInArrow(_deal(cuts), f"bucket int, block long, {pieces}")          # scanned again: cheaper than written
-    lexicon = pin(dealt.groupBy("bucket").applyInArrow(_bucket(cuts), _BUCKET_FIELDS), ROW_GROUP)
+    with few_rows(spark, SCAN):                           # the same blocks again
+        lexicon = pin(dealt.groupBy("bucket").applyInArrow(_bucket(cuts), _BUCKET_FIELDS), ROW_GROUP)
     vocabulary, tokens = lexicon.agg(F.coalesce(F.sum("words_seen"), F.lit(0)),
                                      F.coalesce(F.sum("tokens_seen"), F.lit(0))).first()
     spelled = lexicon.select("code", "count", "length", "words")
@@ -845,8 +869,9 @@ def learn(docs: DataFrame, held) -> Learned:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
 
     frequency = np.zeros(256)
-    for r in spelled.mapInArrow(bytes_, "byte long, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect():
-        frequency[r.byte] = r.n
+    with few_rows(spark):
+        for r in spelled.mapInArrow(bytes_, "byte long, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect():
+            frequency[r.byte] = r.n
     tree = code_tree(frequency)
     found = lexicon.where("length(rims) > 0 or length(parts) > 0").select("bucket", "rims", "parts").collect() if place["inner"].any() else []
     common = Common(place, tree, found)
@@ -865,14 +890,13 @@ def learn(docs: DataFrame, held) -> Learned:
         fits = _tree(fitted.mapInArrow(_learn(tree, model, shared), "part long, sums binary"), [], _add_sums, buckets).collect()
     weights, refine = _model(sum((np.frombuffer(r.sums, "<f8") for r in fits), np.zeros(_GATES * (_WIDTH + 1) + 2 * _NODES * _BINS)))
 
-    return Learned(lexicon, load, int(tokens), int(vocabulary), tree, tables, common, weights, refine)
+    return Learned(lexicon, load, int(tokens), int(vocabulary), tree, tables, common, (model, shared), weights, refine)
 
 
 def score(docs: DataFrame, held) -> DataFrame:
     """Learn from the rows outside ``held`` (a boolean column), score all."""
     m = learn(docs, held)
-    model = docs.sparkSession.sparkContext.broadcast(m.tables)           # of fixed size
-    common = docs.sparkSession.sparkContext.broadcast(m.common)
+    model, common = m.sent
     answers = m.lexicon.select(*_MODELLED, "blocks", "sizes", "pairs").mapInArrow(
         _answer(m.tree, model, common, m.weights, m.refine), "block long, bucket int, seen binary, score binary, pairs binary")
     with few_rows(docs.sparkSession):

@@ -52,9 +52,13 @@ def tidy(spark: SparkSession):
     return _setting(spark, _CLEAN, "true")
 
 
+@contextmanager
 def few_rows(spark: SparkSession, rows: int = 1):
-    """Within: Python tasks get so many rows at a time, for tables of large rows."""
-    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Within: Parquet readers open and Python tasks get so many rows at a time,
+    for tables of large rows."""
+    with (_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)),
+          _setting(spark, "spark.sql.parquet.columnarReaderBatchSize", str(rows))):
+        yield
 
 
 def pin(df: DataFrame, row_group: int | None = None) -> DataFrame:
